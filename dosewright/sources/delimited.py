@@ -72,6 +72,8 @@ def _read(reader, layout: Layout, paths) -> DataFrame:
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # The number of fields is only checked on lines that are read whole.
+        .option("columnPruning", False)
         .csv(paths)
     )
 
