@@ -25,6 +25,22 @@ def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(WHITE_SPACE))
 
 
+def unusual_space(*values: Column) -> Column:
+    """Whether any of ``values`` may have white space other than blanks.
+
+    True for any character outside printable ASCII and the alphabets below
+    U+1680, which covers all white space but the blank. One quick scan per
+    row; where it is false, ``strip_known`` gets by with trimming blanks,
+    which is many times cheaper, and where it is true the full rule applies.
+    """
+    return F.concat_ws("", *values).rlike(r"[^ -~\xa1-\u167f]")
+
+
+def strip_known(value: Column, unusual: Column) -> Column:
+    """``strip`` for a value whose row has been looked at by ``unusual_space``."""
+    return F.when(unusual, strip(value)).otherwise(F.trim(value))
+
+
 def null_if_in(value: Column, tokens: Sequence[str]) -> Column:
     """``value``, or null where it is one of ``tokens``."""
     return F.when(~value.isin(*tokens), value)

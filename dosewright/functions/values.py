@@ -23,11 +23,16 @@ _PLAIN_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
-def parse_date(value: Column, source: T.DataType | None = None) -> Column:
-    """Date of a text (year first, or day first), date or timestamp column."""
+def parse_date(
+    value: Column, source: T.DataType | None = None, stripped: Column | None = None
+) -> Column:
+    """Date of a text (year first, or day first), date or timestamp column.
+
+    ``stripped`` may give the stripped text where it is at hand.
+    """
     if isinstance(source, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return value.cast("date")
-    text = strip(value.cast("string"))
+    text = strip(value.cast("string")) if stripped is None else stripped
     parsed = F.when(text.rlike(_PLAIN_DATE), text.try_cast("date"))
     for shape, rewrite in DATE_SHAPES:
         parsed = parsed.when(
@@ -36,11 +41,13 @@ def parse_date(value: Column, source: T.DataType | None = None) -> Column:
     return parsed
 
 
-def parse_number(value: Column, source: T.DataType | None = None) -> Column:
+def parse_number(
+    value: Column, source: T.DataType | None = None, stripped: Column | None = None
+) -> Column:
     if isinstance(source, T.NumericType):
         number = value.cast("double")
         return F.when(~F.isnan(number), number)
-    text = strip(value.cast("string"))
+    text = strip(value.cast("string")) if stripped is None else stripped
     # The pattern keeps out spellings only a JVM takes for numbers ("1d", "NaN").
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dosewright.functions import derive, text, values
 from dosewright.operators.lookups import with_region
-from dosewright.spec import CALENDAR_COLUMNS, DERIVED_COLUMNS, CurationSpec
+from dosewright.spec import CALENDAR_COLUMNS, DERIVED_COLUMNS, TEXT_NULL_TOKENS, CurationSpec
 
 DATE_COLUMNS = ("data_vacina", "data_deletado_rnds")
 AGE_COLUMN = "numero_idade_paciente"
@@ -28,15 +29,36 @@ def applicable_aliases(columns: list[str], aliases: dict[str, str]) -> dict[str,
     return {old: new for old, new in aliases.items() if old in columns and new not in columns}
 
 
-def cleaned_columns(df: DataFrame, spec: CurationSpec) -> dict[str, Column]:
-    """Parsed dates and age, cleaned texts and codes, for the columns present."""
+_UNUSUAL = "_unusual_space"
+
+
+def cleaned(df: DataFrame, spec: CurationSpec) -> DataFrame:
+    """Parsed dates and age, cleaned texts and codes, for the columns present.
+
+    Done in three projections: look for unusual white space once per row,
+    strip, then set null tokens and parse. Each value is stripped once, and
+    the generated code stays in pieces small enough to be compiled; a single
+    projection over sixty columns is not, and runs several times slower.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
-    cleaned = {c: values.parse_date(F.col(c), types[c]) for c in DATE_COLUMNS if c in types}
+    texts = [c for c in spec.text_columns if c in types]
+    codes = [c for c in spec.code_columns if c in types and c not in texts]
+    parsed = [c for c in (*DATE_COLUMNS, AGE_COLUMN) if isinstance(types.get(c), T.StringType)]
+    read_as_text = {c: F.col(c).cast("string") for c in (*texts, *codes, *parsed)}
+
+    if read_as_text:
+        df = df.withColumn(_UNUSUAL, text.unusual_space(*read_as_text.values()))
+        stripped = {c: text.strip_known(v, F.col(_UNUSUAL)) for c, v in read_as_text.items()}
+        df = df.withColumns(stripped | {c: F.upper(stripped[c]) for c in texts}).drop(_UNUSUAL)
+
+    final = {c: text.null_if_in(F.col(c), TEXT_NULL_TOKENS) for c in texts}
+    final |= {c: F.when(F.col(c) != "", F.col(c)) for c in codes}
+    for c in DATE_COLUMNS:
+        if c in types:
+            final[c] = values.parse_date(F.col(c), types[c], F.col(c))
     if AGE_COLUMN in types:
-        cleaned[AGE_COLUMN] = values.parse_number(F.col(AGE_COLUMN), types[AGE_COLUMN])
-    cleaned |= {c: text.clean_text(F.col(c)) for c in spec.text_columns if c in types}
-    cleaned |= {c: text.clean_code(F.col(c)) for c in spec.code_columns if c in types}
-    return cleaned
+        final[AGE_COLUMN] = values.parse_number(F.col(AGE_COLUMN), types[AGE_COLUMN], F.col(AGE_COLUMN))
+    return df.withColumns(final) if final else df
 
 
 def document_columns(columns: set[str]) -> dict[str, Column]:
@@ -89,7 +111,7 @@ def curate(df: DataFrame, spec: CurationSpec | None = None) -> DataFrame:
     df = canonical_columns(df, dict(spec.aliases))
     present = set(df.columns)
 
-    df = df.withColumns(cleaned_columns(df, spec))
+    df = cleaned(df, spec)
     df = df.withColumns(document_columns(present))
     if spec.only_valid_documents:
         df = df.filter("registro_valido_documento")

@@ -164,7 +164,10 @@ def write_quarantine(
     """
     bad = F.col(delimited.PROBLEM).isNotNull()
     lines = union_by_name(
-        *(df.select(PERIOD, delimited.PROBLEM, delimited.CORRUPT) for df in frames)
+        *(
+            df.select(PERIOD, delimited.PROBLEM, delimited.CORRUPT, delimited.first_field(df))
+            for df in frames
+        )
     )
     seen = Observation()
     of_period = {p: F.col(PERIOD) == p for p in periods}
@@ -176,6 +179,7 @@ def write_quarantine(
     kept = observed.filter(bad).select(
         F.col(delimited.PROBLEM).alias("problem"),
         F.col(delimited.CORRUPT).alias("line"),
+        delimited.FIRST_FIELD,
         *(v.alias(k) for k, v in partitions.keys_of_period(F.col(PERIOD)).items()),
     )
     kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(

@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Generated methods beyond this size are not compiled by the JVM but
+    # interpreted; Spark then splits the code per operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Replace only the partitions a job writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

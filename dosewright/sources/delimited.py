@@ -14,6 +14,7 @@ from dosewright.spec import RAW_COLUMNS, READER_NULL_TOKENS, UFS_OF_REGION
 
 CORRUPT = "_corrupt_line"
 PROBLEM = "_problem"
+FIRST_FIELD = "first_field"
 
 
 @dataclass(frozen=True)
@@ -101,10 +102,15 @@ def usable(scanned: DataFrame) -> DataFrame:
 def quarantined(scanned: DataFrame) -> DataFrame:
     """The unusable lines as they were, with the reason."""
     return scanned.filter(F.col(PROBLEM).isNotNull()).select(
-        F.col(PROBLEM).alias("problem"), F.col(CORRUPT).alias("line")
+        F.col(PROBLEM).alias("problem"), F.col(CORRUPT).alias("line"), first_field(scanned)
     )
 
 
+def first_field(scanned: DataFrame) -> Column:
+    """First field as parsed. Spark refuses to read the corrupt line on its own."""
+    return F.col(scanned.columns[0]).alias(FIRST_FIELD)
+
+
 def alignment(scanned: DataFrame) -> DataFrame:
     """One row of shares telling whether a headerless file matches its layout.
 

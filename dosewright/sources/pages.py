@@ -59,10 +59,9 @@ def load_pages(spark: SparkSession, folder: str, years: list[int] | None = None)
     """Saved pages ``year=Y/page=N.json`` with their payload, year and page number."""
     paths = [f"{folder}/year={y}/page=*.json" for y in years] if years else folder
     pages = (
-        spark.read.option("wholetext", True)
-        .option("basePath", folder)
+        spark.read.option("basePath", folder)
         .option("pathGlobFilter", "page=*.json")
-        .text(paths)
+        .text(paths, wholetext=True)
     )
     number = F.regexp_extract(F.col("_metadata.file_name"), r"page(?:=|%3D)(\d+)", 1)
     return pages.select(
