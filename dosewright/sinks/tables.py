@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dosewright.operators.topk import ordering
+
 CURATED_VIEW = "vacinacao_curada"
 GEO_VIEW = "vacinacao_curada_geo"
 
@@ -20,26 +22,32 @@ def save_table(df: DataFrame, name: str, root: str | None = None) -> None:
 
 
 def export_csv(df: DataFrame, folder: str, name: str) -> str:
-    """One CSV file with header, in a folder ``name.csv``.
+    """CSV with header in a folder ``name.csv``.
 
-    For summaries, whose size is bounded by code lists. A frame that is
-    already ordered keeps its order.
+    An ordered frame keeps its order over the numbered files; a summary small
+    enough, which they normally are, is a single file.
     """
     path = f"{folder}/{name}.csv"
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').option(
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
         "emptyValue", ""
     ).csv(path)
     return path
 
 
-def save_all(tables: Mapping[str, DataFrame], root: str, csv_folder: str | None) -> dict[str, DataFrame]:
-    """Writes every summary as a table and, from the stored table, as CSV."""
+def save_all(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    csv_folder: str | None = None,
+    orders: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, DataFrame]:
+    """Writes every summary as a table and, from the stored table, as ordered CSV."""
     stored = {}
     for name, df in tables.items():
-        save_table(df.coalesce(1), name, root)
+        save_table(df, name, root)
         stored[name] = df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
         if csv_folder is not None:
-            export_csv(stored[name], csv_folder, name)
+            order = ordering((orders or {}).get(name, ()))
+            export_csv(stored[name].orderBy(*order) if order else stored[name], csv_folder, name)
     return stored
 
 

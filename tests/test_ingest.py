@@ -249,3 +249,35 @@ def test_documents(spark, landing):
 def test_absent_summary(spark, tmp_path):
     empty = load_summary(spark, str(tmp_path), "nothing", "a string, n bigint")
     assert empty.count() == 0 and empty.columns == ["a", "n"]
+
+
+def test_whole_job(spark, landing):
+    from dosewright.__main__ import main
+
+    geography = landing / "geo.csv"
+    geography.write_text(
+        "codigo_municipio,nome_municipio_ibge,uf,nome_uf,regiao,nome_regiao,latitude,longitude\n"
+        "355030,Sao Paulo,SP,Sao Paulo,Sudeste,Sudeste,-23.5505,-46.6333\n"
+    )
+    docs = landing / "docs"
+    main(
+        f"--data-dir {landing} --docs-dir {docs} --manifest-path {landing}/manifest.csv "
+        f"--months 1,3 --geography-path {geography}".split()
+    )
+    names = {p.name for p in docs.iterdir()}
+    assert names >= {
+        "validation_report.csv", "run_closure_summary.csv", "run_consistency_checks.csv",
+        "data_dictionary.csv", "map_coverage_report.csv", "schema.json", "catalog.json",
+        "dataset_metadata.json", "source_metadata.json", "manifest.csv",
+    }
+    summaries = {p.name for p in (landing / "analytics").iterdir()}
+    assert len(summaries) == 17
+    found = load_summary(
+        spark, str(landing / "analytics"), "quality_by_month",
+        "ano_vacinacao int, mes_vacinacao int, total_registros bigint",
+    )
+    assert [tuple(r) for r in found.collect()] == [(2025, 1, 2), (2025, 3, 4)]
+    checks = spark.read.option("header", True).csv(str(docs / "run_consistency_checks.csv"))
+    assert checks.filter("passed = 'true'").count() == 4
+    source = spark.read.json(str(docs / "source_metadata.json")).first()
+    assert (source.years, source.months) == ([2025], [1, 3])
