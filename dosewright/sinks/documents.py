@@ -37,7 +37,7 @@ DICTIONARY_FIELDS = {
     "codigo_lote_vacina": "P100647543",
     "descricao_vacina_fabricante": "CSL BEHRING",
     "descricao_estrategia_vacinacao": "Rotina",
-    "descricao_sistema_origem": "Novo PNI",
+    "descricao_sistema_origem": "SISTEMA A",
     "st_documento": "FINAL",
     "registro_deletado_rnds": "false",
     "documento_final": "true",

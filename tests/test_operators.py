@@ -148,3 +148,24 @@ def test_map_of_nothing_and_of_one_point(spark):
 def test_only_valid_documents(spark):
     raw = spark.createDataFrame(ROWS, RAW)
     assert curate(raw, CurationSpec(only_valid_documents=True)).count() == 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_single_mart_reads_its_own_columns_only(spark):
+    import __spark_entry__ as entries
+
+    plan = plan_of(entries.queries()["AGG_07_sex_summary"](spark, "/root/testdata/sf0.001"))
+    assert "ReadSchema: struct<l_returnflag:string>" in plan and "Join" not in plan
+
+
+def test_dimension_meets_counted_rows(spark):
+    import __spark_entry__ as entries
+
+    name = "AGG_10_municipality_vaccination_summary"
+    df = entries.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # In the printed tree a deeper operator comes later: join first, aggregate below it.
+    assert plan.index("Join LeftOuter") < plan.index("Aggregate")
