@@ -33,6 +33,7 @@ def finalize(
     source: str = "",
     map_points: int | None = 250,
     must_pass: bool = False,
+    merge_schema: bool = False,
 ) -> dict[str, DataFrame]:
     """Writes everything derived from ``data_dir/processed``; the reports by name.
 
@@ -41,7 +42,7 @@ def finalize(
     and once for the validation report; all else works on what those wrote.
     """
     processed, table_dir, csv_dir = (f"{data_dir}/{d}" for d in ("processed", "tables", "analytics"))
-    curated = load_curated(spark, processed)
+    curated = load_curated(spark, processed, merge_schema)
     records = curated.drop("year", "month")
     geography = load_geography_if_there(spark, geography_path)
     tables.register_views(records, with_geography(records, geography))

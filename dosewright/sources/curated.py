@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def load_curated(spark: SparkSession, root: str) -> DataFrame:
-    """Partitioned records, united by column name; an error when there are none."""
+def load_curated(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
+    """Partitioned records, united by column name; an error when there are none.
+
+    Finding the columns of all files means looking into each of them. Without
+    ``merge_schema`` one file speaks for all, which holds for records written
+    by the ingestion here: every month has the same columns.
+    """
     try:
         return (
-            spark.read.option("mergeSchema", True)
+            spark.read.option("mergeSchema", merge_schema)
             .option("basePath", root)
             .option("pathGlobFilter", "*.parquet")
             .parquet(root)

@@ -53,7 +53,10 @@ def _problem(layout: Layout) -> Column:
     Looked at for lines the parser marks only; a line with too few fields is
     usable and its last columns are null.
     """
-    line = F.col(CORRUPT)
+    # Spark refuses to read the marked line on its own, which a plain count would
+    # do. The second part is always null and only keeps a field in the scan.
+    first = F.col(layout.columns[0])
+    line = F.coalesce(F.col(CORRUPT), F.nullif(first, first))
     unquoted = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
     fields = F.size(F.split(unquoted, f"\\Q{layout.separator}\\E", -1))
     return (
@@ -107,7 +110,7 @@ def quarantined(scanned: DataFrame) -> DataFrame:
 
 
 def first_field(scanned: DataFrame) -> Column:
-    """First field as parsed. Spark refuses to read the corrupt line on its own."""
+    """First field as parsed, a hint at where the line belongs."""
     return F.col(scanned.columns[0]).alias(FIRST_FIELD)
 
 

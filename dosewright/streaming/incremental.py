@@ -95,10 +95,19 @@ def write_running(
     )
 
 
-def latest(spark: SparkSession, root: str) -> DataFrame:
+def latest(spark: SparkSession, root: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Current state of ``write_running``.
+
+    In complete mode the newest batch holds everything. In update mode a batch
+    holds the groups it changed; ``keys`` then picks the newest row of each.
+    """
     batches = spark.read.option("basePath", root).parquet(root)
-    newest = batches.agg(F.max("batch")).scalar()
-    return batches.filter(F.col("batch") == newest).drop("batch")
+    if not keys:
+        newest = batches.agg(F.max("batch")).scalar()
+        return batches.filter(F.col("batch") == newest).drop("batch")
+    values = [c for c in batches.columns if c not in keys and c != "batch"]
+    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
+    return newest.select(*keys, *(F.col(f"_newest.{c}").alias(c) for c in values))
 
 
 def write_batch_metrics(

@@ -15,7 +15,8 @@ from entry_queries.registry import query
 
 def _arriving(spark, sf_dir, name):
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    # As a pattern, the path may be one file as well as a folder of files.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _as_records(events):
@@ -129,7 +130,7 @@ def batch_metrics(spark, sf_dir):
 
 
 @query(
-    "STR_03_running_quality",
+    "STR_03_running_updates",
     "SELECT event_type, count(*) AS total_registros FROM events GROUP BY event_type",
 )
 def running_totals(spark, sf_dir):
@@ -141,4 +142,4 @@ def running_totals(spark, sf_dir):
     incremental.write_running(
         counts, root, scratch_path(spark, "checkpoint"), mode="update"
     ).awaitTermination()
-    return incremental.latest(spark, root)
+    return incremental.latest(spark, root, ["event_type"])

@@ -164,6 +164,13 @@ def test_months_setting():
     assert parse_months("1, 2,12,") == [1, 2, 12]
 
 
+def test_counting_lines_alone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1;2\n;\n3;4;5\n6\n")
+    lines = delimited.scan(spark, str(tmp_path / "a.csv"), delimited.Layout(("a", "b"), ";", False))
+    assert (lines.count(), delimited.usable(lines).count()) == (4, 3)
+    assert [r.line for r in delimited.quarantined(lines).collect()] == ["3;4;5"]
+
+
 def test_layout_by_header():
     layout = delimited.Layout.of_first_line('"Data Vacina",x', ",", True, "utf-8")
     assert layout.columns == ("data_vacina", "x") and layout.header

@@ -169,3 +169,47 @@ def test_dimension_meets_counted_rows(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     # In the printed tree a deeper operator comes later: join first, aggregate below it.
     assert plan.index("Join LeftOuter") < plan.index("Aggregate")
+
+
+def test_stream_over_several_batches(spark, tmp_path):
+    """State and metrics over files that arrive one per batch."""
+    from dosewright.plans.reports import accumulate, long_form
+    from dosewright.streaming import incremental
+
+    source = str(tmp_path / "in")
+    for rows in ([("a", 1), ("b", 1)], [("a", 2)], [("c", 3), ("c", 4)]):
+        spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).parquet(source)
+    wanted = [("a", 2), ("b", 1), ("c", 2)]
+    for mode, keys in (("complete", ()), ("update", ("k",))):
+        root = str(tmp_path / mode)
+        counts = incremental.running_counts(stream, ["k"], "n")
+        incremental.write_running(counts, root, f"{root}-checkpoint", mode).awaitTermination()
+        assert len(list((tmp_path / mode).glob("batch=*"))) >= 3
+        assert sorted(map(tuple, incremental.latest(spark, root, keys).collect())) == wanted
+    root = str(tmp_path / "metrics")
+    incremental.write_batch_metrics(
+        stream, root, f"{root}-checkpoint", lambda batch: long_form(batch.agg(F.count("*").alias("n")))
+    ).awaitTermination()
+    assert [tuple(r) for r in accumulate(spark.read.parquet(root)).collect()] == [("n", 5)]
+
+
+def test_bounded_dedup_over_batches(spark, tmp_path):
+    from dosewright.streaming import incremental
+
+    source = str(tmp_path / "in")
+    for minute in (1, 5, 3):
+        rows = [("x", f"2025-01-01 00:0{minute}:00", f"p{minute}"), (f"only{minute}", "2025-01-01 00:02:00", "p")]
+        frame = spark.createDataFrame(rows, "k string, t string, codigo_paciente string")
+        frame.coalesce(1).write.mode("append").parquet(source)
+    stream = (
+        spark.readStream.schema("k string, t string, codigo_paciente string")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(source)
+    )
+    kept = incremental.drop_duplicates_within(stream, "t", "1 day").select("k")
+    out = str(tmp_path / "out")
+    kept.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", f"{out}-checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["only1", "only3", "only5", "x"]
