@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewright.llm import line_dedup, quality_rules, simhash
+from dosewright.llm import (
+    chat,
+    embedding_dedup,
+    language_id,
+    line_dedup,
+    mixing,
+    packing,
+    quality_model,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +65,81 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
+MIX_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS tokens,
+         md5('17:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+s AS (SELECT source, sum(tokens)::BIGINT AS t FROM d GROUP BY source),
+p AS (SELECT ln(t::DOUBLE / (SELECT sum(t) FROM s)) AS l FROM s WHERE t > 0),
+g AS (SELECT k, k / 10000.0::DOUBLE AS a FROM (SELECT unnest(range(10001)) AS k)),
+h AS (
+  SELECT k, a, sum(exp(a * l)) AS z, ln(sum(exp(a * l))) - a * sum(exp(a * l) * l) / sum(exp(a * l)) AS entropy,
+         (1 - a) * (max(l) - min(l)) AS spread FROM g, p GROUP BY k, a),
+c AS (
+  SELECT greatest(
+    coalesce((SELECT max(k) FROM h WHERE entropy >= 0.95 * ln((SELECT count(*) FROM p)) - 1e-9), 0),
+    (SELECT min(k) FROM h WHERE spread <= ln(4.0) + 1e-9)) AS k),
+m AS (SELECT a, (SELECT sum(t) FROM s) * z * exp((1 - a) * (SELECT max(l) FROM p)) AS budget FROM h, c WHERE h.k = c.k),
+w AS (SELECT source, t, pow(t, a) / (SELECT sum(pow(t, m.a)) FROM s, m WHERE t > 0) AS weight, budget FROM s, m),
+b AS (SELECT source, t, weight, CASE WHEN t > 0 THEN round(weight * budget)::BIGINT ELSE 0 END AS bt FROM w),
+r AS (
+  SELECT d.*, b.weight, CASE WHEN t > 0 THEN bt // t ELSE 1 END AS blocks, CASE WHEN t > 0 THEN bt % t ELSE 0 END AS rest,
+         sum(tokens) OVER (PARTITION BY d.source ORDER BY key) AS running
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+n AS (SELECT *, blocks + CASE WHEN rest > 0 AND running <= rest THEN 1 ELSE 0 END AS times FROM r)
+SELECT doc_id, source, tokens, epoch::INTEGER AS epoch,
+       md5('17:' || epoch::VARCHAR || ':' || coalesce(doc_id::VARCHAR, '')) AS block_key, round(weight, 6) AS weight
+FROM (SELECT *, unnest(range(1, times::BIGINT + 1)) AS epoch FROM n WHERE times > 0)
+"""
+
+
+@query("op10_temperature_mix", MIX_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_trees")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+@query("op3_chat_format")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = chat.with_trial(table(spark, sf_dir, "conversations"))
+    return chat.digests(chat.formatted_turns(talks)).drop("rewritten")
+
+
+EMBEDDING_SQL = r"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      AND list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT r.a AS vec_id, coalesce((SELECT count(*) FROM l WHERE l.a = r.a), 0) AS n_links, min(r.b) AS component_id,
+       r.a = min(r.b) AS kept
+FROM r GROUP BY r.a
+"""
+
+
+@query("op1_embedding_dedup", EMBEDDING_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
