@@ -8,9 +8,9 @@ which is counted over all documents. Words of letters without such traces have a
 single reading and are taken as they stand. Decoded words are remembered.
 
 Scoring: words and word beginnings of restored text, learnt from a bounded sample
-of labelled rows. Candidates occur in toxic rows almost only; a greedy cover
-keeps the few that explain the toxic rows, so that words which merely stand
-beside them, or come from copies of one document, drop out.
+of labelled rows. Candidates occur in toxic rows almost only. Those that would
+not be so by chance, given how many were looked at, are kept; of the others, a
+greedy cover keeps the few that explain toxic rows left unexplained.
 """
 
 from __future__ import annotations
@@ -33,9 +33,11 @@ from dosewright.session import stored
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
 #: A candidate stands in so many toxic rows at least, and so purely.
-MIN_TOXIC, MIN_PURITY = 2, 0.85
-#: Letters of a word beginning that counts as a feature of its own.
-BEGINNING = 4
+MIN_TOXIC, MIN_PURITY = 4, 0.85
+#: Features expected to pass for toxic by chance.
+BY_CHANCE = 0.05
+#: Letters of the word beginnings that count as features of their own.
+BEGINNINGS = (4, 5, 6, 7)
 #: Words that a Python worker remembers; the memory is emptied when full.
 REMEMBERED = 300_000
 
@@ -164,8 +166,8 @@ class Restorer:
 
 
 def features_of(word: str) -> tuple[str, ...]:
-    """A word, and its beginning marked with a hyphen."""
-    return (word, word[:BEGINNING] + "-") if len(word) > BEGINNING else (word,)
+    """A word, and its beginnings marked with a hyphen."""
+    return (word, *(word[:n] + "-" for n in BEGINNINGS if n < len(word)))
 
 
 class Words:
@@ -195,17 +197,27 @@ _COUNT = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("rows", pa
 
 
 def _counted(model):
+    """Rows and toxic rows of each feature, summed up within a task as far as memory is given."""
+
+    def flush(toxic, rows):
+        return record_batch(_COUNT, list(rows), [toxic[f] for f in rows], list(rows.values()))
+
     def run(batches):
         words = Words(model)
+        toxic: Counter = Counter()
+        rows: Counter = Counter()
         for batch in batches:
-            toxic: Counter = Counter()
-            rows: Counter = Counter()
             for text, label in zip(as_texts(batch.column("text")), batch.column("toxic").to_pylist()):
                 found = {f for w in words(text) for f in features_of(w)}
                 rows.update(found)
                 if label:
                     toxic.update(found)
-            yield record_batch(_COUNT, list(rows), [toxic[f] for f in rows], list(rows.values()))
+                if len(rows) > REMEMBERED:
+                    yield flush(toxic, rows)
+                    toxic.clear()
+                    rows.clear()
+        if rows:
+            yield flush(toxic, rows)
 
     return run
 
@@ -216,10 +228,10 @@ _HELD = pa.schema([("row", pa.int64()), ("feature", pa.string())])
 def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, limit: int = SAMPLE_ROWS) -> tuple[dict[str, float], float]:
     """(purity by feature, share of toxic rows) from labelled rows that are not held out.
 
-    Rows with a null label are passed over; rows of one text count once.
+    Rows with a null label are passed over; rows of one text count once; of labels that differ, the toxic one holds.
     """
-    known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    drawn = sample(known.dropDuplicates(["doc_id"]), limit)
+    known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
+    drawn = sample(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), limit)
     rows = stored(
         docs.select("doc_id", "text").join(drawn, "doc_id").groupBy(F.xxhash64("text").alias("row")).agg(
             F.first("text").alias("text"), F.max("toxic").alias("toxic")
@@ -229,13 +241,19 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, limit: int = SA
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n or not toxic:
         return {}, (toxic + 1) / (n + 2) if n else 0.5
-    counts = (
+    counts = stored(
         rows.mapInArrow(_counted(model), "feature string, toxic long, rows long")
         .groupBy("feature")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
-        .where((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= MIN_PURITY * F.col("rows")))
+        .agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows")),
+        "features",
     )
-    candidates = {r[0]: (r[1], r[2]) for r in counts.collect()}  # words of a bounded sample
+    candidates = {
+        r[0]: (r[1], r[2])
+        for r in counts.where((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= MIN_PURITY * F.col("rows"))).collect()
+    }  # words of a bounded sample
+    seen = counts.where("rows >= 2").groupBy("rows").count().orderBy("rows").collect()
+    share = toxic / n
+    significant = {f for f, (t, r) in candidates.items() if surprise(t, r, share) >= math.log(tried(seen, r) / BY_CHANCE)}
 
     def incidence(batches):
         words = Words(model)
@@ -249,15 +267,28 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, limit: int = SA
                 yield record_batch(_HELD, *zip(*pairs))
 
     held = rows.where("toxic = 1").select("row", "text").mapInArrow(incidence, "row long, feature string").collect()
-    return cover(held, candidates), toxic / n
+    return cover(held, candidates, significant), share
+
+
+def surprise(toxic: int, rows: int, share: float) -> float:
+    """Bound on -ln of the chance that so many of ``rows`` are toxic."""
+    p = toxic / rows
+    return rows * (p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0))
+
+
+def tried(seen, rows: int) -> int:
+    """Features that stand in so many rows or more, from (rows, features)."""
+    return max(1, sum(n for r, n in seen if r >= rows))
 
 
-def cover(held, candidates: dict[str, tuple[int, int]]) -> dict[str, float]:
-    """Greedy cover of toxic rows by features; the last ones explain two rows at least."""
+def cover(held, candidates: dict[str, tuple[int, int]], significant: set[str]) -> dict[str, float]:
+    """Purity of the significant features, and of those that cover further toxic rows, best first."""
     rows_of: dict[str, set] = defaultdict(set)
     for row, feature in held:
         rows_of[feature].add(row)
-    chosen: dict[str, float] = {}
+    chosen = {f: (candidates[f][0] + 0.5) / (candidates[f][1] + 1.0) for f in significant}
+    explained = {row for row, feature in held if feature in significant}
+    rows_of = {f: rest for f, r in rows_of.items() if (rest := r - explained)}
     while rows_of:
         feature = max(rows_of, key=lambda f: (len(rows_of[f]), -candidates[f][1], f))
         explained = rows_of[feature]
