@@ -22,6 +22,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from dosewright.session import stored
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
 #: A candidate stands in so many toxic rows at least, and so purely.
-MIN_TOXIC, MIN_PURITY = 4, 0.85
+MIN_TOXIC, MIN_PURITY = 4, 0.95
 #: Features expected to pass for toxic by chance.
 BY_CHANCE = 0.05
 #: Letters of the word beginnings that count as features of their own.
@@ -225,17 +226,56 @@ def _counted(model):
 _HELD = pa.schema([("row", pa.int64()), ("feature", pa.string())])
 
 
+_KEYED = pa.schema([("row", pa.int64()), ("toxic", pa.int32()), ("text", pa.string())])
+RUN = 5
+
+
+def _keyed(batches):
+    """Rows with the smallest hash of their runs of five words."""
+    for batch in batches:
+        keys = []
+        for text in as_texts(batch.column("text")):
+            words = text.encode("utf-8", "replace").split()
+            runs = (b" ".join(words[i : i + RUN]) for i in range(max(1, len(words) - RUN + 1)))
+            keys.append(min(map(xxhash.xxh64_intdigest, runs)) - (1 << 63))
+        yield record_batch(_KEYED, keys, batch.column("toxic").cast(pa.int32()), batch.column("text"))
+
+
+def without_shadows(candidates: dict[str, tuple[int, int]]) -> dict[str, tuple[int, int]]:
+    """Candidates without the beginnings that are toxic only through one whole word.
+
+    What a beginning holds besides its words that are candidates must be as pure
+    as a candidate. Rows with several of the words are taken off several times,
+    which leaves less than there is; nothing left says nothing.
+    """
+    toxic: Counter = Counter()
+    rows: Counter = Counter()
+    for feature, (t, r) in candidates.items():
+        if not feature.endswith("-"):
+            for beginning in features_of(feature)[1:]:
+                toxic[beginning] += t
+                rows[beginning] += r
+    return {
+        f: (t, r)
+        for f, (t, r) in candidates.items()
+        if not f.endswith("-") or r <= rows[f] or t - toxic[f] >= MIN_PURITY * (r - rows[f])
+    }
+
+
 def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, limit: int = SAMPLE_ROWS) -> tuple[dict[str, float], float]:
     """(purity by feature, share of toxic rows) from labelled rows that are not held out.
 
-    Rows with a null label are passed over; rows of one text count once; of labels that differ, the toxic one holds.
+    Rows with a null label are passed over; of labels of a row that differ, the
+    toxic one holds. Copies and near copies of one label, told by the smallest
+    hash of their word runs, count once: a word is no more toxic for being copied.
     """
     known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     drawn = sample(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), limit)
     rows = stored(
-        docs.select("doc_id", "text").join(drawn, "doc_id").groupBy(F.xxhash64("text").alias("row")).agg(
-            F.first("text").alias("text"), F.max("toxic").alias("toxic")
-        ),
+        docs.select("doc_id", "text").join(drawn, "doc_id")
+        .mapInArrow(_keyed, "row long, toxic int, text string")
+        .groupBy("row", "toxic").agg(F.min("text").alias("text"))
+        .select(F.xxhash64("row", "toxic").alias("row"), "toxic", "text"),
         "labelled",
     )
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -251,6 +291,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, limit: int = SA
         r[0]: (r[1], r[2])
         for r in counts.where((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= MIN_PURITY * F.col("rows"))).collect()
     }  # words of a bounded sample
+    candidates = without_shadows(candidates)
     seen = counts.where("rows >= 2").groupBy("rows").count().orderBy("rows").collect()
     share = toxic / n
     significant = {f for f, (t, r) in candidates.items() if surprise(t, r, share) >= math.log(tried(seen, r) / BY_CHANCE)}
