@@ -216,5 +216,5 @@ def mixed_documents(docs: DataFrame, seed: int = SEED, **target) -> DataFrame:
     _, sources = mixture(docs, seed, **target)
     # the plan's column names must not meet those of the documents
     names = {c: f"__{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "source")}
-    held = copies(docs.withColumnsRenamed(names), sources, seed)
+    held = copies(docs.withColumnsRenamed(names), sources, seed).drop("epoch", "weight")
     return held.withColumnsRenamed({new: old for old, new in names.items()}).select(*docs.columns)

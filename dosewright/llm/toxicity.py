@@ -49,7 +49,7 @@ LOOK_ALIKE = {
 }
 #: Signs put between letters, or in place of one.
 FILLERS = ".-_*'~·•"
-SUBSTITUTED, FILLED, SHORTENED, WILD = 1.5, 0.5, 0.5, 4.0
+SUBSTITUTED, FILLED, SHORTENED, DROPPED, WILD = 1.5, 0.5, 0.5, 5.0, 2.0
 
 _EDGE = ".,;:?\"'()[]{}<>#*%&|!~-_"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -121,13 +121,13 @@ class Restorer:
             if c in LOOK_ALIKE:
                 single = [(x, SUBSTITUTED) for x in LOOK_ALIKE[c]]
                 if not c.isalnum():
-                    single.append(("", FILLED + 1.0))
+                    single.append(("", DROPPED))
                 out += [single] * min(n, 2)
             elif c in FILLERS or not c.isalnum():
-                readings = [("", FILLED)]
-                if c == "*" and n <= 2:
-                    readings += [(chr(97 + i), WILD) for i in range(26)]
-                out.append(readings)
+                if c == "*" and n <= 2:  # rather a letter left out than a sign put between
+                    out += [[("", DROPPED), *((chr(97 + i), WILD) for i in range(26))]] * n
+                else:
+                    out.append([("", FILLED)])
             elif n >= 3:
                 out.append([(c, SHORTENED), (c * 2, SHORTENED)])
             else:
