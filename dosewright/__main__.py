@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import os
+import sys
+
+# spark-submit puts the folder of this file on the path, not the one that holds the package.
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from dosewright.plans.finalize import finalize
 from dosewright.plans.ingest import ingest_manifest, ingest_pages
-from dosewright.session import session
+from dosewright.session import drop_stored, session, stored_so_far
 from dosewright.sinks import documents, tables
 from dosewright.sources.manifest import first_months, load_manifest, parse_months
 from dosewright.spec import CurationSpec
@@ -36,6 +41,7 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
 def main(arguments: list[str] | None = None) -> None:
     chosen = options(arguments)
     spark = session()
+    before = stored_so_far(spark)
     spec = CurationSpec(
         keep_sensitive=chosen.keep_sensitive, only_valid_documents=chosen.only_valid_documents
     )
@@ -83,6 +89,7 @@ def main(arguments: list[str] | None = None) -> None:
             chosen.geography_path,
             map_points=chosen.map_max_points,
         )
+    drop_stored(spark, before)
 
 
 if __name__ == "__main__":

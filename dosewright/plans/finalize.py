@@ -9,19 +9,20 @@ from dosewright.plans import coverage, reports
 from dosewright.plans.marts import MARTS, build_marts
 from dosewright.session import stored
 from dosewright.sinks import documents, tables
+from dosewright.sinks.partitions import committed_counts
 from dosewright.sources.curated import load_curated, stored_size
 from dosewright.sources.places import load_geography
 
 
 def load_geography_if_there(spark: SparkSession, path: str | None) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
+    """The geography, or None where no file is; any other fault of it is raised."""
     if path is None:
         return None
-    try:
-        return load_geography(spark, path)
-    except AnalysisException:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.globStatus(hadoop_path):
         return None
+    return load_geography(spark, path)
 
 
 def finalize(
@@ -33,7 +34,7 @@ def finalize(
     source: str = "",
     map_points: int | None = 250,
     must_pass: bool = False,
-    merge_schema: bool = False,
+    merge_schema: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Writes everything derived from ``data_dir/processed``; the reports by name.
 
@@ -50,7 +51,12 @@ def finalize(
     marts = tables.save_all(
         build_marts(records, geography), table_dir, csv_dir, {n: m.order for n, m in MARTS.items()}
     )
-    validation = stored(reports.validation_report(records, all_essential=True), "validation")
+    validation = stored(
+        reports.validation_report(
+            records, all_essential=True, measured=reports.run_counts(committed_counts(spark, processed))
+        ),
+        "validation",
+    )
     made = {
         "validation_report": validation,
         "run_closure_summary": reports.closure_summary(

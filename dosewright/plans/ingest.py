@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from dosewright.operators.curate import curate
 from dosewright.operators.dedup import drop_exact_duplicates
 from dosewright.operators.lookups import not_in
 from dosewright.operators.sets import union_by_name
+from dosewright.session import stored
 from dosewright.sinks import partitions
 from dosewright.sources import archives, delimited, pages
 from dosewright.sources.manifest import first_months, load_manifest, require_rows
@@ -20,6 +21,9 @@ from dosewright.spec import DERIVED_COLUMNS, RAW_COLUMNS, CurationSpec
 
 # Month of the file a record came from, as YYYYMM.
 PERIOD = "arquivo_periodo"
+FILE = "arquivo_nome"
+#: Text of the months that are done and entered together.
+GROUP_BYTES = 64 << 30
 
 
 @dataclass(frozen=True)
@@ -60,10 +64,22 @@ def landed_files(
     ]
 
 
-def scan_landed(
-    spark: SparkSession, files: list[LandedFile], check_alignment: bool = True
-) -> list[DataFrame]:
-    """The lines of the files, one frame per distinct layout, with the month of their file.
+@dataclass(frozen=True)
+class Counted:
+    """What was seen of one file while its records were written."""
+
+    lines: int
+    bad: int
+    open_quotes: int
+    shares: dict[str, float | None]
+
+
+def _name_of(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
+def scan_landed(spark: SparkSession, files: list[LandedFile]) -> list[tuple[list[LandedFile], DataFrame]]:
+    """The lines of the files, one frame per distinct layout, with the month and name of their file.
 
     Layouts stay apart until curation: a column one of them lacks is absent
     there, which is not the same as null.
@@ -74,16 +90,84 @@ def scan_landed(
     frames = []
     for layout, members in groups.items():
         lines = delimited.scan(spark, [f.path for f in members], layout)
-        if check_alignment and not layout.header:
-            delimited.require_aligned(lines)
-        period_of = F.create_map(
-            *(F.lit(v) for f in members for v in (f.path.rsplit("/", 1)[-1], f.period))
-        )
+        period_of = F.create_map(*(F.lit(v) for f in members for v in (_name_of(f.path), f.period)))
         name = F.url_decode(F.col("_metadata.file_name"))
-        frames.append(lines.withColumn(PERIOD, F.try_element_at(period_of, name)))
+        frames.append((members, lines.withColumns({FILE: name, PERIOD: F.try_element_at(period_of, name)})))
     return frames
 
 
+def _observed(members: list[LandedFile], lines: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, Counted]]]:
+    """The lines, and what was counted of each file once they have been read through."""
+    seen = Observation()
+    problem = F.col(delimited.PROBLEM)
+    metrics = {"lines": F.lit(True), "bad": problem.isNotNull(), "open": problem == "open_quote"}
+    tests = {} if members[0].layout.header else delimited.alignment_tests(lines)
+    usable = problem.isNull()
+    for column, fits in tests.items():
+        metrics[f"known_{column}"] = usable & F.col(column).isNotNull()
+        metrics[f"fits_{column}"] = usable & F.col(column).isNotNull() & fits
+    observed = lines.observe(
+        seen,
+        *(
+            F.count_if((F.col(FILE) == _name_of(f.path)) & condition).alias(f"{name}_{i}")
+            for i, f in enumerate(members)
+            for name, condition in metrics.items()
+        ),
+    )
+
+    def result() -> dict[str, Counted]:
+        got = seen.get
+        return {
+            _name_of(f.path): Counted(
+                got[f"lines_{i}"],
+                got[f"bad_{i}"],
+                got[f"open_{i}"],
+                {c: got[f"fits_{c}_{i}"] / n if (n := got[f"known_{c}_{i}"]) else None for c in tests},
+            )
+            for i, f in enumerate(members)
+        }
+
+    return observed, result
+
+
+def parsed(spark: SparkSession, files: list[LandedFile], spec: CurationSpec) -> tuple[DataFrame, dict[str, Counted]]:
+    """Curated records of the files, stored, and the counts of each file; one pass over the text."""
+    frames, results = [], []
+    for members, lines in scan_landed(spark, files):
+        observed, result = _observed(members, lines)
+        frames.append(full_width(curate(delimited.usable(observed), spec)))
+        results.append(result)
+    records = stored(union_by_name(*frames), "parsed")
+    return records, {name: counted for result in results for name, counted in result().items()}
+
+
+def with_line_breaks(
+    spark: SparkSession, files: list[LandedFile], records: DataFrame, counted: dict[str, Counted], spec: CurationSpec
+) -> tuple[list[LandedFile], DataFrame, dict[str, Counted]]:
+    """Reads files with open quotes again as records that may hold line breaks.
+
+    The second reading counts for a file only if it closes every quote; else
+    a stray quote would swallow good lines, and the reading by lines stands.
+    """
+    again = [
+        replace(f, layout=replace(f.layout, line_breaks=True)) for f in files if counted[_name_of(f.path)].open_quotes
+    ]
+    if not again:
+        return files, records, counted
+    joined, recounted = parsed(spark, again, spec)
+    better = {f: recounted[_name_of(f.path)] for f in again if not recounted[_name_of(f.path)].open_quotes}
+    if not better:
+        return files, records, counted
+    names = [_name_of(f.path) for f in better]
+    records = union_by_name(records.filter(~F.col(FILE).isin(names)), joined.filter(F.col(FILE).isin(names)))
+    by_path = {f.path: f for f in better}
+    return (
+        [by_path.get(f.path, f) for f in files],
+        records,
+        counted | {_name_of(f.path): c for f, c in better.items()},
+    )
+
+
 def full_width(df: DataFrame) -> DataFrame:
     """Adds the source columns a run lacks as nulls, after curation.
 
@@ -101,6 +185,24 @@ def full_width(df: DataFrame) -> DataFrame:
     return padded.select(*RAW_COLUMNS, *extra, *DERIVED_COLUMNS)
 
 
+def month_groups(files: list[LandedFile], sizes: dict[str, int], group_bytes: int) -> list[list[LandedFile]]:
+    """Files of whole months in order, as many to a group as fit its bytes, one month at least."""
+    by_period: dict[int, list[LandedFile]] = defaultdict(list)
+    for file in files:
+        by_period[file.period].append(file)
+    groups: list[list[LandedFile]] = []
+    room = 0
+    for period in sorted(by_period):
+        size = sum(sizes.get(f.path, 0) for f in by_period[period])
+        if groups and size <= room:
+            groups[-1] += by_period[period]
+            room -= size
+        else:
+            groups.append(list(by_period[period]))
+            room = group_bytes - size
+    return groups
+
+
 def ingest_manifest(
     spark: SparkSession,
     manifest_path: str,
@@ -113,17 +215,23 @@ def ingest_manifest(
     deduplicate: bool = False,
     spec: CurationSpec | None = None,
     check_alignment: bool = True,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """Curates the months of a manifest into ``data_dir/processed``.
 
     Archives are expected in ``data_dir/raw/zip``. Finished months are skipped
     unless told otherwise; months written are replaced as a whole, so a
-    repeated or interrupted run never doubles records. Lines that cannot be
-    used go to ``data_dir/quarantine``. Returns one row per month written:
+    repeated or interrupted run never doubles records. Months are done in
+    groups of about ``group_bytes`` of text and entered as written group by
+    group; with ``deduplicate`` all months are one group, as copies are looked
+    for in all of them. A group is replaced only after all its files have been
+    read and checked. Lines that cannot be used go to ``data_dir/quarantine``.
+    Returns one row per month written:
     ``(year, month, original_records, records, quarantined_records)``.
     """
     spec = spec or CurationSpec()
     raw, processed = f"{data_dir}/raw", f"{data_dir}/processed"
+    partitions.require_no_stream(processed)
     manifest = load_manifest(spark, manifest_path, months)
     manifest = require_rows(first_months(manifest, max_months))
     if skip_existing_months and not clear_selected_months:
@@ -132,51 +240,73 @@ def ingest_manifest(
             return spark.createDataFrame([], partitions.COUNT_SCHEMA)
 
     files = landed_files(spark, manifest, f"{raw}/zip", f"{raw}/csv", encoding)
-    periods = sorted({f.period for f in files})
-    if clear_selected_months:
-        partitions.clear_months(spark, processed, periods)
-    frames = scan_landed(spark, files, check_alignment)
+    sizes = archives.text_sizes([f.path for f in files])
+    groups = [files] if deduplicate else month_groups(files, sizes, group_bytes)
+    done = [
+        row
+        for group in groups
+        for row in ingest_files(spark, group, data_dir, deduplicate, spec, check_alignment)
+    ]
+    return spark.createDataFrame(done, partitions.COUNT_SCHEMA)
 
-    records = union_by_name(
-        *(full_width(curate(delimited.usable(lines), spec)) for lines in frames)
-    )
+
+def ingest_files(
+    spark: SparkSession,
+    files: list[LandedFile],
+    data_dir: str,
+    deduplicate: bool = False,
+    spec: CurationSpec | None = None,
+    check_alignment: bool = True,
+) -> list[tuple[int, int, int, int, int]]:
+    """Reads, checks, replaces and enters the months of ``files``; their counts as ``COUNT_SCHEMA``.
+
+    The text is read once. Only files with lines that cannot be used are read
+    again, for their quarantine.
+    """
+    spec = spec or CurationSpec()
+    processed = f"{data_dir}/processed"
+    records, counted = parsed(spark, files, spec)
+    files, records, counted = with_line_breaks(spark, files, records, counted, spec)
+    if check_alignment:
+        for file in files:
+            delimited.require_aligned(counted[_name_of(file.path)].shares, file.path)
+    records = records.drop(FILE)
     if deduplicate:
         # Of equal records in several months the earliest month keeps its copy.
-        records = drop_exact_duplicates(records, (*spec.sensitive_columns, PERIOD), (PERIOD,))
-    partitions.write_by_period(
-        records, processed, PERIOD, rebalance=deduplicate, keep_sensitive=spec.keep_sensitive
-    )
-    before = write_quarantine(frames, periods, f"{data_dir}/quarantine")
-    after = partitions.stored_counts(spark, processed, periods)
-    rows = [(p // 100, p % 100, before[p][0], after.get(p, 0), before[p][1]) for p in periods]
-    counts = spark.createDataFrame(rows, partitions.COUNT_SCHEMA)
-    partitions.commit_months(counts, processed)
-    return counts
+        records = stored(
+            drop_exact_duplicates(records, (*spec.sensitive_columns, PERIOD), (PERIOD,)), "distinct"
+        )
 
+    periods = sorted({f.period for f in files})
+    partitions.mark_open(spark, processed, periods)
+    partitions.write_by_period(records, processed, PERIOD, keep_sensitive=spec.keep_sensitive)
+    write_quarantine(spark, [f for f in files if counted[_name_of(f.path)].bad], f"{data_dir}/quarantine")
+    after = partitions.period_counts(records, PERIOD)
+    before, bad = defaultdict(int), defaultdict(int)
+    for f in files:
+        before[f.period] += counted[_name_of(f.path)].lines
+        bad[f.period] += counted[_name_of(f.path)].bad
+    # a month that ends without records, or without unusable lines, keeps none of an earlier run
+    partitions.remove_months(processed, [p for p in periods if not after.get(p)])
+    partitions.remove_months(f"{data_dir}/quarantine", [p for p in periods if not bad[p]])
+    rows = [(p // 100, p % 100, before[p], after.get(p, 0), bad[p]) for p in periods]
+    partitions.commit_months(
+        spark.createDataFrame(rows, partitions.COUNT_SCHEMA), processed, records.drop(PERIOD).schema
+    )
+    return rows
 
-def write_quarantine(
-    frames: list[DataFrame], periods: list[int], root: str
-) -> dict[int, tuple[int, int]]:
-    """Writes the unusable lines by month; per month all lines read and unusable lines.
 
-    The counts are observed while the lines are written, without a pass of
-    their own.
-    """
-    bad = F.col(delimited.PROBLEM).isNotNull()
+def write_quarantine(spark: SparkSession, files: list[LandedFile], root: str) -> None:
+    """Writes the unusable lines of the files that have any, by month."""
+    if not files:
+        return
     lines = union_by_name(
         *(
             df.select(PERIOD, delimited.PROBLEM, delimited.CORRUPT, delimited.first_field(df))
-            for df in frames
+            for _, df in scan_landed(spark, files)
         )
     )
-    seen = Observation()
-    of_period = {p: F.col(PERIOD) == p for p in periods}
-    observed = lines.observe(
-        seen,
-        *(F.count_if(c).alias(f"lines_{p}") for p, c in of_period.items()),
-        *(F.count_if(c & bad).alias(f"bad_{p}") for p, c in of_period.items()),
-    )
-    kept = observed.filter(bad).select(
+    kept = lines.filter(F.col(delimited.PROBLEM).isNotNull()).select(
         F.col(delimited.PROBLEM).alias("problem"),
         F.col(delimited.CORRUPT).alias("line"),
         delimited.FIRST_FIELD,
@@ -185,7 +315,6 @@ def write_quarantine(
     kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *partitions.PARTITION
     ).parquet(root)
-    return {p: (seen.get[f"lines_{p}"], seen.get[f"bad_{p}"]) for p in periods}
 
 
 def ingest_pages(
@@ -196,13 +325,25 @@ def ingest_pages(
     deduplicate: bool = True,
     spec: CurationSpec | None = None,
     undated_dir: str | None = None,
+    fields: Sequence[str] | None = None,
 ) -> dict[str, int]:
-    """Curates saved API pages into partitions by event date; counts per kind."""
+    """Adds saved API pages to partitions by event date; counts per kind.
+
+    ``fields`` are the columns taken from the records, by the names they have
+    there; without them all names that occur are looked for, which takes a pass
+    of its own. Undated records go to
+    ``undated_dir``, beside ``processed_dir`` where none is given.
+    """
     spec = spec or CurationSpec()
+    partitions.require_no_stream(processed_dir)
     records = pages.explode_pages(pages.load_pages(spark, raw_dir, years)).select("record")
-    curated = curate(pages.records_table(records), spec)
+    curated = curate(pages.records_table(records, list(fields) if fields else None), spec)
     if deduplicate:
         curated = drop_exact_duplicates(curated)
     return partitions.write_by_event_date(
-        full_width(curated), processed_dir, undated_dir, keep_sensitive=spec.keep_sensitive
+        full_width(curated),
+        processed_dir,
+        undated_dir or f"{processed_dir.rstrip('/')}_undated",
+        distinct=deduplicate,
+        keep_sensitive=spec.keep_sensitive,
     )

@@ -130,9 +130,17 @@ def _finished(counted: DataFrame, mart: Mart, geography: DataFrame | None) -> Da
     return counted.select(*mart.keys, mart.measure).orderBy(*ordering(mart.order))
 
 
+def require_unique_places(geography: DataFrame | None) -> None:
+    """An error where two rows of the dimension would join to one municipality."""
+    if geography is not None:
+        require_unique(geography.select(municipality_key(F.col("codigo_municipio")).alias("k")), "k")
+
+
 def build_mart(curated: DataFrame, name: str, geography: DataFrame | None = None) -> DataFrame:
     """One summary from the records, in its published order."""
     mart = MARTS[name]
+    if mart.needs_geography:
+        require_unique_places(geography)
     measures = flag_counts() if mart.quality else []
     counted = curated.groupBy(*mart.record_keys).agg(F.count("*").alias(mart.measure), *measures)
     return _finished(counted, mart, geography)
@@ -155,8 +163,7 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """All summaries (or ``names``) by way of the stored cubes."""
     names = names or list(MARTS)
-    if geography is not None:
-        require_unique(geography.select(municipality_key(F.col("codigo_municipio")).alias("k")), "k")
+    require_unique_places(geography)
     cubes = stored_cubes(curated, sorted({MARTS[n].cube for n in names}))
     return {name: mart_from_cubes(cubes, name, geography) for name in names}
 

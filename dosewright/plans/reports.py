@@ -104,12 +104,15 @@ def validation_report(
     original: DataFrame | None = None,
     measure_duplicates: bool = False,
     all_essential: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """The validation report of curated records.
 
     With ``original`` (the records as read) the original count is measured
     and the removed count is the difference; ``measure_duplicates`` says the
-    difference is due to duplicate removal alone.
+    difference is due to duplicate removal alone. ``measured`` is one row of
+    counts of the runs that wrote the records, see :func:`run_counts`; they
+    take the place of the metrics of their name and are added where there are none.
     """
     metrics = validation_metrics(df, variant, all_essential=all_essential)
     wide = df.agg(*(c.cast("bigint").alias(n) for n, c in metrics.items()))
@@ -121,7 +124,29 @@ def validation_report(
                 "removed_duplicate_records",
                 F.col("original_records") - F.col("processed_records"),
             )
-    return described(long_form(wide, list(metrics)))
+    names = list(metrics)
+    if measured is not None:
+        for name in measured.columns:
+            counted = measured.select(name).scalar()
+            wide = wide.withColumn(name, F.coalesce(counted, F.col(name)) if name in names else counted)
+            names += [name] if name not in names else []
+    return described(long_form(wide, names))
+
+
+def run_counts(committed: DataFrame) -> DataFrame:
+    """One row of counts over all months written, from their commit entries; nulls where an entry does not tell.
+
+    Lines read, lines that could not be used, and records taken out since: as
+    copies, or as invalid documents where only valid ones were asked for.
+    """
+    known = F.count("*") == F.count("original_records")
+    return committed.agg(
+        F.when(known, F.sum("original_records")).alias("original_records"),
+        F.when(known, F.sum(F.col("original_records") - F.col("quarantined_records") - F.col("records"))).alias(
+            "removed_duplicate_records"
+        ),
+        F.when(known, F.sum("quarantined_records")).alias("quarantined_records"),
+    )
 
 
 def metric_value(report: DataFrame, metric: str, default: int | None = 0) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,8 @@ SETTINGS = {
     # Generated methods beyond this size are not compiled by the JVM but
     # interpreted; Spark then splits the code per operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Python functions get rows that may be whole documents; Spark bounds a batch by rows.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Replace only the partitions a job writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -35,23 +38,35 @@ def session(master: str | None = None, app: str = "dosewright", **extra: str) ->
     return builder.getOrCreate()
 
 
+#: Names the folder for intermediate tables where ``spark.checkpoint.dir`` does not.
+SCRATCH = "spark.dosewright.scratch.dir"
+_written: dict[str, list[str]] = {}
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only where none is named (tests, a single machine) a new temporary one is
-    made and remembered for the session.
+    Only a session whose executors are threads of this machine gets a new
+    temporary one where none is named; on a cluster that is an error, as each
+    executor would write to a disk of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.conf.get("dosewright.scratch.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not named:
+        if not _is_local(spark):
+            raise ValueError(f"name a folder that all executors share in spark.checkpoint.dir or {SCRATCH}")
         named = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("dosewright.scratch.dir", named)
+        spark.conf.set(SCRATCH, named)
     return named
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -64,3 +79,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_so_far(spark: SparkSession) -> int:
+    """How many tables this application has stored; see :func:`drop_stored`."""
+    return len(_written.get(spark.sparkContext.applicationId, []))
+
+
+def drop_stored(spark: SparkSession, since: int = 0) -> None:
+    """Removes what this application has stored, but for the first ``since`` tables.
+
+    Frames read from what is removed are void after that.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    written = _written.get(spark.sparkContext.applicationId, [])
+    while len(written) > since:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written.pop())
+        folder.getFileSystem(hadoop).delete(folder, True)

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dosewright.session import stored
 from dosewright.spec import SENSITIVE_COLUMNS
 
 PARTITION = ("year", "month")
 COMMITS = "_commits"
 WRITTEN, CLEARED = "written", "cleared"
-_COMMIT_SCHEMA = "year int, month int, records bigint, state string, at timestamp"
+_COMMIT_SCHEMA = (
+    "year int, month int, records bigint, original_records bigint, quarantined_records bigint, "
+    "columns string, state string, at timestamp"
+)
 COUNT_SCHEMA = (
     "year int, month int, original_records bigint, records bigint, quarantined_records bigint"
 )
@@ -63,88 +70,179 @@ def write_by_period(df: DataFrame, root: str, period: str, **kwargs) -> None:
     write_partitions(df.withColumns(keys_of_period(F.col(period))).drop(period), root, **kwargs)
 
 
-def split_by_date(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that have a month of their own, and those that have none."""
-    dated = F.col("ano_vacinacao").isNotNull() & F.col("mes_vacinacao").isNotNull()
-    return df.filter(dated), df.filter(~dated)
+def _stored_rows(spark: SparkSession, path: str, partitioned: bool) -> DataFrame | None:
+    """What is stored below ``path``, partition columns as text; None if nothing is."""
+    try:
+        found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if not partitioned:
+        return found
+    return found.withColumns(partition_keys(F.col("year"), F.col("month")))
 
 
 def write_by_event_date(
-    df: DataFrame, root: str, undated: str | None = None, **kwargs
+    df: DataFrame,
+    root: str,
+    undated: str,
+    distinct: bool = True,
+    rebalance: bool = True,
+    keep_sensitive: bool = False,
 ) -> dict[str, int]:
-    """Rows go to the month of their date; undated rows are counted and kept apart.
+    """Adds rows to the month of their date; rows without one go to the folder ``undated``.
+
+    What is stored stays: rows of the months touched are united with the new
+    ones and written again, so no run shrinks a month. With ``distinct`` rows
+    equal to stored ones are not added again, and a repeated run changes
+    nothing; without it every run adds all its rows. Without calendar columns
+    all rows are undated. ``df`` is evaluated once. Returns the rows given per
+    kind.
+    """
+    if not keep_sensitive:
+        require_no_sensitive(df)
+    spark = df.sparkSession
+    if {"ano_vacinacao", "mes_vacinacao"} <= set(df.columns):
+        dated = F.col("ano_vacinacao").isNotNull() & F.col("mes_vacinacao").isNotNull()
+        keys = partition_keys(F.col("ano_vacinacao"), F.col("mes_vacinacao"))
+        keyed = df.withColumns({k: F.when(dated, v) for k, v in keys.items()})
+    else:
+        keyed = df.withColumns({k: F.lit(None).cast("string") for k in PARTITION})
+    given = stored(keyed, "event-date")
+    counts = {(r.year, r.month): r["count"] for r in given.groupBy(*PARTITION).count().collect()}
+    months = [m for m in counts if m[0] is not None]
+
+    for path, chosen, partitioned in (
+        (undated, F.col("year").isNull(), False),
+        (root, F.concat("year", "month").isin([y + m for y, m in months]), True),
+    ):
+        new = given.filter(chosen)
+        if not (months if partitioned else (None, None) in counts):
+            continue
+        if not partitioned:
+            new = new.drop(*PARTITION)
+        old = _stored_rows(spark, path, partitioned)
+        if old is not None:
+            new = new.unionByName(old.filter(chosen) if partitioned else old, allowMissingColumns=True)
+            if distinct:
+                new = new.distinct()
+            new = stored(new, "event-date")  # a folder is not written while it is read
+        if partitioned:
+            write_partitions(new, path, rebalance, keep_sensitive)
+        else:
+            new.write.mode("overwrite").parquet(path)
+    total = sum(counts.values())
+    rest = counts.get((None, None), 0)
+    return {"dated": total - rest, "undated": rest}
+
+
+def _log_entries(spark: SparkSession, root: str) -> DataFrame:
+    try:
+        return spark.read.schema(_COMMIT_SCHEMA).json(f"{root}/{COMMITS}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _COMMIT_SCHEMA)
+
 
-    A frame without calendar columns, or without any dated row, is written
-    whole and unpartitioned. Returns the number of rows written per kind.
+def committed_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Last entry of each month that says it is written: its counts and columns.
+
+    Months are taken from these entries and not from the files found, so a
+    month cut short by a failure is written again.
     """
-    if not {"ano_vacinacao", "mes_vacinacao"} <= set(df.columns):
-        require_no_sensitive(df).write.mode("overwrite").parquet(root)
-        return {"unpartitioned": df.count()}
-    with_month, without = split_by_date(df)
-    counts = df.agg(
-        F.count_if(F.col("ano_vacinacao").isNotNull() & F.col("mes_vacinacao").isNotNull()).alias(
-            "dated"
-        ),
-        F.count("*").alias("total"),
-    ).first()
-    if counts.dated == 0:
-        require_no_sensitive(df).write.mode("overwrite").parquet(root)
-        return {"unpartitioned": counts.total}
-    keys = partition_keys(F.col("ano_vacinacao"), F.col("mes_vacinacao"))
-    write_partitions(with_month.withColumns(keys), root, **kwargs)
-    if undated is not None:
-        require_no_sensitive(without).write.mode("overwrite").parquet(undated)
-    return {"dated": counts.dated, "undated": counts.total - counts.dated}
+    entry = F.struct("records", "original_records", "quarantined_records", "columns", "state")
+    last = _log_entries(spark, root).groupBy("year", "month").agg(F.max_by(entry, "at").alias("e"))
+    return last.select("year", "month", "e.*").filter(F.col("state") == WRITTEN).drop("state")
 
 
 def committed_months(spark: SparkSession, root: str) -> DataFrame:
-    """Months whose last entry in the commit records says they are written.
+    """Months whose last entry says they are written."""
+    return committed_counts(spark, root).select("year", "month")
+
+
+def stored_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """Columns of all committed months, united by name; None where entries do not tell."""
+    known = committed_counts(spark, root).select("columns").distinct().collect()
+    if not known or any(r.columns is None for r in known):
+        return None
+    fields: dict[str, T.StructField] = {}
+    # the widest first: every month has the same columns but for those its own files add
+    for r in sorted((r.columns for r in known), key=lambda c: (-len(c), c)):
+        for field in T.StructType.fromJson(json.loads(r)).fields:
+            fields.setdefault(field.name, field)
+    return T.StructType(list(fields.values()))
 
-    Taken from those entries and not from the files found, so a month cut
-    short by a failure is written again.
-    """
-    try:
-        log = spark.read.schema(_COMMIT_SCHEMA).json(f"{root}/{COMMITS}")
-    except AnalysisException:
-        log = spark.createDataFrame([], _COMMIT_SCHEMA)
-    last = log.groupBy("year", "month").agg(F.max_by("state", "at").alias("state"))
-    return last.filter(F.col("state") == WRITTEN).select("year", "month")
 
+def _log(months: DataFrame, state: str, root: str, columns: str | None = None) -> None:
+    def count(name):
+        known = F.col(name) if name in months.columns else F.lit(None)
+        return known.cast("bigint").alias(name)
 
-def _log(months: DataFrame, state: str, root: str) -> None:
     entries = months.select(
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
-        F.col("records").cast("bigint").alias("records"),
+        *(count(c) for c in ("records", "original_records", "quarantined_records")),
+        F.lit(columns).alias("columns"),
         F.lit(state).alias("state"),
         F.current_timestamp().alias("at"),
     )
     entries.coalesce(1).write.mode("append").json(f"{root}/{COMMITS}")
 
 
-def commit_months(counts: DataFrame, root: str) -> None:
-    """Enters ``(year, month, records)`` rows as written."""
-    _log(counts, WRITTEN, root)
+def commit_months(counts: DataFrame, root: str, columns: T.StructType | None = None) -> None:
+    """Enters ``(year, month, records, ...)`` rows as written, with the columns they have."""
+    _log(counts, WRITTEN, root, json.dumps(columns.jsonValue()) if columns is not None else None)
 
 
-def clear_months(spark: SparkSession, root: str, periods: list[int]) -> None:
-    """Empties the given months. Entered first, so that a crash leaves them to be redone."""
+def mark_open(spark: SparkSession, root: str, periods: list[int]) -> None:
+    """Enters months as not written, before they are replaced: a crash leaves them to be redone."""
+    rows = [(p // 100, p % 100, 0) for p in periods]
+    _log(spark.createDataFrame(rows, "year int, month int, records bigint"), CLEARED, root)
+
+
+def remove_months(root: str, periods: list[int]) -> None:
+    """Removes the stored files of months; months that are not there do not matter."""
     from pyarrow import fs
 
     from dosewright.sources.archives import locate
 
-    rows = [(p // 100, p % 100, 0) for p in periods]
-    _log(spark.createDataFrame(rows, "year int, month int, records bigint"), CLEARED, root)
     store, inner = locate(root)
-    for year, month, _ in rows:
-        folder = f"{inner}/year={year}/month={month:02d}"
+    for p in periods:
+        folder = f"{inner}/year={p // 100}/month={p % 100:02d}"
         if store.get_file_info(folder).type == fs.FileType.Directory:
             store.delete_dir(folder)
 
 
-def stored_counts(spark: SparkSession, root: str, periods: list[int]) -> dict[int, int]:
-    """Records stored per month; reads file footers of those months only."""
-    stored = spark.read.option("basePath", root).parquet(root)
-    period = F.col("year").cast("int") * 100 + F.col("month").cast("int")
-    counts = stored.filter(period.isin(periods)).groupBy(period.alias("period")).count()
-    return {r["period"]: r["count"] for r in counts.collect()}
+def clear_months(spark: SparkSession, root: str, periods: list[int]) -> None:
+    """Empties the given months; they count as not written from then on."""
+    mark_open(spark, root, periods)
+    remove_months(root, periods)
+
+
+def require_no_stream(root: str) -> None:
+    """An error where a streaming job writes: its log decides what readers see, not the commit records."""
+    from pyarrow import fs
+
+    from dosewright.sources.archives import locate
+
+    store, inner = locate(root)
+    if store.get_file_info(f"{inner}/_spark_metadata").type != fs.FileType.NotFound:
+        raise ValueError(f"{root} belongs to a streaming job")
+
+
+def require_no_batches(root: str) -> None:
+    """An error where batch runs have entered months: they would be replaced, or hidden by a stream's log."""
+    from pyarrow import fs
+
+    from dosewright.sources.archives import locate
+
+    store, inner = locate(root)
+    if store.get_file_info(f"{inner}/{COMMITS}").type != fs.FileType.NotFound:
+        raise ValueError(f"{root} belongs to batch runs")
+
+
+def period_counts(df: DataFrame, period: str) -> dict[int, int]:
+    """Rows per month given as YYYYMM."""
+    return {r[0]: r[1] for r in df.groupBy(period).count().collect()}

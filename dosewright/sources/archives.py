@@ -95,6 +95,15 @@ def unpack(
     return spread.mapInPandas(run, _UNPACKED)
 
 
+def text_sizes(paths: list[str]) -> dict[str, int]:
+    """Bytes of the files, by listing."""
+    sizes = {}
+    for path in paths:
+        store, inner = locate(path)
+        sizes[path] = store.get_file_info(inner).size or 0
+    return sizes
+
+
 def first_lines(
     spark: SparkSession, csv_paths: list[str], encoding: str = "ISO-8859-1"
 ) -> DataFrame:

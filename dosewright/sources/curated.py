@@ -8,20 +8,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def load_curated(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
+def load_curated(spark: SparkSession, root: str, merge_schema: bool | None = None) -> DataFrame:
     """Partitioned records, united by column name; an error when there are none.
 
-    Finding the columns of all files means looking into each of them. Without
-    ``merge_schema`` one file speaks for all, which holds for records written
-    by the ingestion here: every month has the same columns.
+    The columns are those entered with the commit records. Where there are no
+    such entries, or with ``merge_schema``, all files are looked into for
+    theirs; without it one file speaks for all.
     """
+    from dosewright.sinks.partitions import stored_schema
+
+    known = stored_schema(spark, root) if merge_schema is None else None
+    reader = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet")
     try:
-        return (
-            spark.read.option("mergeSchema", merge_schema)
-            .option("basePath", root)
-            .option("pathGlobFilter", "*.parquet")
-            .parquet(root)
-        )
+        if known is not None:
+            return reader.schema(known).parquet(root)
+        return reader.option("mergeSchema", merge_schema is not False).parquet(root)
     except AnalysisException as problem:
         raise FileNotFoundError(f"no curated records below {root}") from problem
 

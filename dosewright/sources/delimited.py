@@ -19,12 +19,17 @@ FIRST_FIELD = "first_field"
 
 @dataclass(frozen=True)
 class Layout:
-    """How to read a group of files."""
+    """How to read a group of files.
+
+    ``line_breaks`` says that quoted fields hold line breaks. Such files cannot
+    be split, so it is set for those only that need it.
+    """
 
     columns: tuple[str, ...] = RAW_COLUMNS
     separator: str = ";"
     header: bool = False
     encoding: str = "ISO-8859-1"
+    line_breaks: bool = False
 
     @staticmethod
     def of_first_line(line: str, separator: str, header: bool, encoding: str) -> Layout:
@@ -76,6 +81,7 @@ def _read(reader, layout: Layout, paths) -> DataFrame:
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", layout.line_breaks)
         # The number of fields is only checked on lines that are read whole.
         .option("columnPruning", False)
         .csv(paths)
@@ -87,6 +93,7 @@ def scan(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFra
 
     Files are split and read in parallel: a record is one line, and a line
     whose quote stays open is reported instead of swallowing the next ones.
+    With ``line_breaks`` a record goes on to the end of its quotes.
     """
     lines = _read(spark.read, layout, paths)
     marked = lines.withColumn(PROBLEM, _problem(layout))
@@ -114,33 +121,29 @@ def first_field(scanned: DataFrame) -> Column:
     return F.col(scanned.columns[0]).alias(FIRST_FIELD)
 
 
-def alignment(scanned: DataFrame) -> DataFrame:
-    """One row of shares telling whether a headerless file matches its layout.
-
-    Of the known values: states that exist, dates and ages that parse.
-    """
+def alignment_tests(scanned: DataFrame) -> dict[str, Column]:
+    """Whether a value fits its column: states that exist, dates and ages that parse."""
     from dosewright.functions import values
 
     ufs = [uf for group in UFS_OF_REGION.values() for uf in group]
     tests = {
         "uf_paciente": F.upper("uf_paciente").isin(*ufs),
         "data_vacina": values.parse_date(F.col("data_vacina")).isNotNull(),
-        "numero_idade_paciente": values.parse_number(F.col("numero_idade_paciente")).between(
-            0, 130
-        ),
+        "numero_idade_paciente": values.parse_number(F.col("numero_idade_paciente")).between(0, 130),
     }
+    return {c: F.coalesce(t, F.lit(False)) for c, t in tests.items() if c in scanned.columns}
+
+
+def alignment(scanned: DataFrame) -> DataFrame:
+    """One row of shares of known values that fit; for the lines of one file."""
+    tests = alignment_tests(scanned)
     return scanned.agg(
-        *(
-            F.avg(F.when(F.col(c).isNotNull(), F.coalesce(t, F.lit(False)).cast("double"))).alias(c)
-            for c, t in tests.items()
-        )
+        *(F.avg(F.when(F.col(c).isNotNull(), t.cast("double"))).alias(c) for c, t in tests.items())
     )
 
 
-def require_aligned(scanned: DataFrame, least: float = 0.5) -> DataFrame:
-    """The frame, or an error when positional names do not fit its values."""
-    shares = alignment(scanned).first().asDict()
+def require_aligned(shares: dict[str, float | None], path: str = "", least: float = 0.5) -> None:
+    """An error when the positional names do not fit the values of a file."""
     bad = {c: round(s, 4) for c, s in shares.items() if s is not None and s < least}
     if bad:
-        raise ValueError(f"columns do not match the positional layout: {bad}")
-    return scanned
+        raise ValueError(f"columns of {path or 'a file'} do not match the positional layout: {bad}")

@@ -9,6 +9,7 @@ from dosewright.spec import PAGE_RECORD_KEYS
 
 _RECORD = "map<string,string>"
 _RECORDS = f"array<{_RECORD}>"
+MOST_FIELDS = 2000
 
 
 def page_records(payload: Column) -> Column:
@@ -39,13 +40,17 @@ def explode_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def record_fields(records: DataFrame) -> list[str]:
-    """Field names occurring in the records, sorted.
+    """Field names occurring in the records, sorted; an error beyond ``MOST_FIELDS``.
 
     Names are combined in the tasks; what reaches the driver is one row per
-    distinct name, that is, the future column list.
+    distinct name, that is, the future column list. Where data stand in the
+    place of names, there is no such list, and fields must be declared.
     """
     names = records.select(F.explode(F.map_keys("record")).alias("name")).distinct()
-    return sorted(r.name for r in names.toLocalIterator())
+    found = [r.name for r in names.limit(MOST_FIELDS + 1).collect()]
+    if len(found) > MOST_FIELDS:
+        raise ValueError(f"records have more than {MOST_FIELDS} field names; declare the fields to take")
+    return sorted(found)
 
 
 def records_table(records: DataFrame, fields: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dosewright.operators.curate import curate
-from dosewright.sinks.partitions import PARTITION, partition_keys, require_no_sensitive
+from dosewright.sinks.partitions import (
+    PARTITION,
+    partition_keys,
+    require_no_batches,
+    require_no_sensitive,
+)
 from dosewright.sources import delimited
 from dosewright.spec import SENSITIVE_COLUMNS, CurationSpec
 
@@ -35,14 +40,17 @@ def write_curated(
 ) -> StreamingQuery:
     """Appends curated records to their month; undated records to partition 0/00.
 
-    The file sink's own log makes each batch appear once, whole.
+    The file sink's own log makes each batch appear once, whole; a folder that
+    batch runs write to is refused. Rows of a month are gathered, so a batch
+    writes few files a month instead of one a task and month.
     """
+    require_no_batches(root)
     keys = partition_keys(F.col("ano_vacinacao"), F.col("mes_vacinacao"))
     keyed = require_no_sensitive(curated).withColumns(
         {k: F.coalesce(v, F.lit(UNDATED[k])) for k, v in keys.items()}
     )
     writer = (
-        keyed.writeStream.format("parquet")
+        keyed.repartition(*PARTITION).writeStream.format("parquet")
         .outputMode("append")
         .option("path", root)
         .option("checkpointLocation", checkpoint)
@@ -74,17 +82,48 @@ def running_counts(source: DataFrame, keys: Sequence[str], measure: str = "doses
     return source.groupBy(*keys).agg(F.count("*").alias(measure))
 
 
+def _versions(spark: SparkSession, root: str) -> dict[int, str]:
+    """Finished states stored below ``root``, by batch number."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for status in store.globStatus(folder.suffix("/batch=*/_SUCCESS")) or []:
+        path = status.getPath().getParent()
+        found[int(path.getName().split("=")[1])] = path.toString()
+    return found
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_running(
-    counts: DataFrame, root: str, checkpoint: str, mode: str = "complete"
+    counts: DataFrame, root: str, checkpoint: str, mode: str = "complete", keys: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Keeps the current state of ``counts`` in ``root``.
+    """Keeps the current state of ``counts`` in ``root``; see :func:`latest`.
 
-    Written per batch under the batch number, so a repeated batch replaces
-    its own output; ``latest`` reads the newest.
+    Each batch writes the whole state under its number: in complete mode as it
+    comes, in update mode the groups of ``keys`` it changed over those of the
+    state before. That state is kept until the new one is whole, so a batch
+    that runs again starts from the same; older ones are removed.
     """
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the keys of a group")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch={number:09d}")
+        spark = batch.sparkSession
+        before = {n: path for n, path in _versions(spark, root).items() if n < number}
+        state = batch
+        if mode == "update" and before:
+            old = spark.read.schema(batch.schema).parquet(before[max(before)])
+            changed = batch.select(*(F.col(k).alias(f"_{k}") for k in keys))
+            same = [old[k].eqNullSafe(changed[f"_{k}"]) for k in keys]
+            state = old.join(changed, same, "left_anti").unionByName(batch)
+        state.write.mode("overwrite").parquet(f"{root}/batch={number:09d}")
+        for n, path in before.items():
+            if n < max(before):
+                _remove(spark, path)
 
     return (
         counts.writeStream.outputMode(mode)
@@ -95,19 +134,12 @@ def write_running(
     )
 
 
-def latest(spark: SparkSession, root: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Current state of ``write_running``.
-
-    In complete mode the newest batch holds everything. In update mode a batch
-    holds the groups it changed; ``keys`` then picks the newest row of each.
-    """
-    batches = spark.read.option("basePath", root).parquet(root)
-    if not keys:
-        newest = batches.agg(F.max("batch")).scalar()
-        return batches.filter(F.col("batch") == newest).drop("batch")
-    values = [c for c in batches.columns if c not in keys and c != "batch"]
-    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
-    return newest.select(*keys, *(F.col(f"_newest.{c}").alias(c) for c in values))
+def latest(spark: SparkSession, root: str) -> DataFrame:
+    """Current state of ``write_running``: the newest that is whole."""
+    versions = _versions(spark, root)
+    if not versions:
+        raise FileNotFoundError(f"no state below {root}")
+    return spark.read.parquet(versions[max(versions)])
 
 
 def write_batch_metrics(

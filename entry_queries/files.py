@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dosewright.functions import keys
 from dosewright.operators.rollups import group_count
+from dosewright.plans import ingest
 from dosewright.plans.marts import build_mart
 from dosewright.session import scratch_path
 from dosewright.sinks import documents, partitions, tables
@@ -71,14 +72,32 @@ def file_of_url(spark, sf_dir):
     return urls.select("page_id", keys.file_name_of_url(F.col("url")).alias("file_name"))
 
 
-@query("SNK_11_13_provenance")
+@query(
+    "SNK_11_13_provenance",
+    """SELECT DISTINCT 'orders' AS dataset, 'manifest.csv' AS manifest_path, 2 AS sensitive,
+  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+  CASE WHEN month(o_orderdate) % 3 = 0 THEN '' ELSE 'm' END
+    || CAST(month(o_orderdate) AS VARCHAR) AS month_name,
+  'Orders, m' || CAST(month(o_orderdate) AS VARCHAR) AS resource_name,
+  'https://files.example.org/a%20b/orders%20' || CAST(year(o_orderdate) AS VARCHAR) || '_'
+    || CAST(month(o_orderdate) AS VARCHAR) || '.zip?v=1' AS url,
+  (SELECT count(DISTINCT year(o_orderdate)) FROM orders) AS n_years FROM orders""",
+)
 def provenance(spark, sf_dir):
-    """One row of nested provenance, from a manifest of the orders' months."""
+    """The provenance document of the orders' months, one row a resource."""
     path = _manifest_file(spark, sf_dir)
     rows = manifest.load_manifest(spark, path)
-    return documents.provenance(
+    made = documents.provenance(
         rows, "orders", "order files", "https://example.org/page", "manifest.csv", "ISO-8859-1"
     )
+    listed = made.select(
+        "dataset",
+        "manifest_path",
+        F.size("sensitive_fields_removed_from_processed").alias("sensitive"),
+        F.size("years").cast("bigint").alias("n_years"),
+        F.inline("resources"),
+    )
+    return listed.drop("source_page")
 
 
 # --- delimited files --------------------------------------------------------
@@ -177,6 +196,114 @@ def malformed_lines(spark, sf_dir):
     return lines.groupBy(shown).agg(F.count("*").alias("lines"), F.count(last).alias("last_fields"))
 
 
+def _text_files(lines, root, periods, layouts):
+    """Lines (``period``, ``value``) as files of their months, described for ingestion."""
+    files = []
+    for period in periods:
+        folder = f"{root}/text-{period}"
+        lines.filter(F.col("period") == period).select("value").write.text(folder)
+        paths = lines.sparkSession.read.text(folder).inputFiles()
+        files += [ingest.LandedFile(p, period // 100, period % 100, layouts[period]) for p in paths]
+    return files
+
+
+@query(
+    "SNK_01_ingest_text",
+    """WITH l AS (SELECT l_orderkey % 3 + 1 AS month, l_linenumber = 7 AS bad, l_linenumber = 1 AS short,
+  l_returnflag, l_shipdate FROM lineitem)
+SELECT 'counted' AS kind, month, count(*) AS lines, count(*) FILTER (WHERE NOT bad) AS records,
+  count(*) FILTER (WHERE bad) AS unusable, CAST(NULL AS BIGINT) AS with_date FROM l GROUP BY month
+UNION ALL SELECT 'stored', month, CAST(NULL AS BIGINT), count(*), CAST(NULL AS BIGINT),
+  count(l_shipdate) FILTER (WHERE NOT short) FROM l WHERE NOT bad GROUP BY month
+UNION ALL SELECT 'quarantined', month, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), count(*),
+  CAST(NULL AS BIGINT) FROM l WHERE bad GROUP BY month""",
+)
+def ingest_text(spark, sf_dir):
+    """Text of two layouts, some lines short or with a field too many, to stored months and their counts."""
+    line = F.col("l_linenumber")
+    period = (F.col("l_orderkey") % 3 + 202501).cast("int")
+    fields = [F.col("l_orderkey").cast("string"), F.col("l_returnflag"), F.date_format("l_shipdate", "yyyy-MM-dd")]
+
+    def text(separator, order):
+        whole = [fields[i] for i in order]
+        return (
+            F.when(line == 7, F.concat_ws(separator, *whole, F.lit("more")))
+            .when(line == 1, F.concat_ws(separator, *whole[:2]))
+            .otherwise(F.concat_ws(separator, *whole))
+        )
+
+    value = F.when(period == 202502, text(",", (1, 0, 2))).otherwise(text(";", (0, 1, 2)))
+    lines = table(spark, sf_dir, "lineitem").select(period.alias("period"), value.alias("value"))
+    names = ("codigo_documento", "sexo_paciente", "data_vacina")
+    one = delimited.Layout(names, ";", False)
+    two = delimited.Layout((names[1], names[0], names[2]), ",", False)
+    root = scratch_path(spark, "ingested")
+    files = _text_files(lines, root, (202501, 202502, 202503), {202501: one, 202502: two, 202503: one})
+    counts = spark.createDataFrame(ingest.ingest_files(spark, files, root), partitions.COUNT_SCHEMA)
+    none = F.lit(None).cast("bigint")
+    month = F.col("month").cast("bigint").alias("month")
+    held = stored_records.load_curated(spark, f"{root}/processed").groupBy(month).agg(
+        F.count("*").alias("records"), F.count("data_vacina").alias("with_date")
+    )
+    aside = spark.read.parquet(f"{root}/quarantine").groupBy(month).agg(F.count("*").alias("unusable"))
+    return (
+        counts.select(
+            F.lit("counted").alias("kind"), month, F.col("original_records").alias("lines"), "records",
+            F.col("quarantined_records").alias("unusable"), none.alias("with_date"),
+        )
+        .unionByName(held.select(F.lit("stored").alias("kind"), "month", none.alias("lines"), "records", none.alias("unusable"), "with_date"))
+        .unionByName(aside.select(F.lit("quarantined").alias("kind"), "month", none.alias("lines"), none.alias("records"), "unusable", none.alias("with_date")))
+    )
+
+
+@query(
+    "SRC_10_line_breaks",
+    """SELECT CAST(l_orderkey AS VARCHAR) AS codigo_documento, l_returnflag AS sexo_paciente,
+  CASE WHEN l_linenumber % 3 = 0 THEN 3 ELSE 1 END AS lines, (SELECT count(*) FROM lineitem) AS original_records,
+  0 * l_linenumber AS quarantined_records FROM lineitem""",
+)
+def line_breaks(spark, sf_dir):
+    """Records whose quoted text goes over several lines are kept whole."""
+    broken = F.when(F.col("l_linenumber") % 3 == 0, F.lit("first\nsecond; \"quoted\"\nthird")).otherwise(F.lit("one"))
+    folder, root = scratch_path(spark, "broken"), scratch_path(spark, "ingested")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string"), "l_returnflag", broken.alias("text")
+    )
+    rows.write.option("sep", ";").option("escape", '"').csv(folder)
+    layout = delimited.Layout(("codigo_documento", "sexo_paciente", "observacao"), ";", False)
+    files = [ingest.LandedFile(p, 2025, 1, layout) for p in spark.read.text(folder).inputFiles()]
+    counts = ingest.ingest_files(spark, files, root)
+    return stored_records.load_curated(spark, f"{root}/processed").select(
+        "codigo_documento",
+        "sexo_paciente",
+        F.size(F.split("observacao", "\n")).alias("lines"),
+        F.lit(counts[0][2]).cast("bigint").alias("original_records"),
+        F.lit(counts[0][4]).cast("bigint").alias("quarantined_records"),
+    )
+
+
+@query(
+    "SRC_13_of_runs",
+    """SELECT l_orderkey % 2 + 1 AS month, CASE WHEN l_orderkey % 2 = 1 THEN upper(l_linestatus) END AS extra,
+  count(*) AS records FROM lineitem GROUP BY ALL""",
+)
+def of_runs(spark, sf_dir):
+    """Two runs into one folder, the second with a column of its own, read as one table."""
+    root = scratch_path(spark, "runs")
+    period = (F.col("l_orderkey") % 2 + 202501).cast("int")
+    for chosen, more in ((202501, ()), (202502, ("extra",))):
+        columns = ("codigo_documento", *more)
+        values = [F.col("l_orderkey").cast("string"), *([F.upper("l_linestatus")] if more else [])]
+        lines = table(spark, sf_dir, "lineitem").select(
+            period.alias("period"), F.concat_ws(";", *values, *([] if more else [F.lit("")])).alias("value")
+        )
+        layout = delimited.Layout(columns if more else (*columns, "sexo_paciente"), ";", False)
+        files = _text_files(lines, scratch_path(spark, "landed"), (chosen,), {chosen: layout})
+        ingest.ingest_files(spark, files, root)
+    stored = stored_records.load_curated(spark, f"{root}/processed")
+    return stored.groupBy(F.col("month").cast("bigint").alias("month"), "extra").agg(F.count("*").alias("records"))
+
+
 # --- JSON pages -------------------------------------------------------------
 
 
@@ -428,10 +555,16 @@ def _ddl(df) -> str:
     ),
 )
 def event_month(spark, sf_dir):
-    """Partitions by the date of the record; undated records are counted apart."""
+    """Partitions by the date of the record, from three runs; undated records are kept apart.
+
+    The second run has undated records only, the third brings further records
+    of months that are stored.
+    """
     root, undated = scratch_path(spark, "by-date"), scratch_path(spark, "undated")
-    records = curated(spark, sf_dir, *_STORED)
-    partitions.write_by_event_date(records, root, undated)
+    records = curated(spark, sf_dir, *_STORED, "l_linenumber")
+    line, dated = F.col("l_linenumber"), F.col("ano_vacinacao").isNotNull()
+    for part in (line <= 3, (line > 3) & ~dated, (line > 3) & dated):
+        partitions.write_by_event_date(records.filter(part), root, undated, distinct=False)
     dated = spark.read.schema(f"{_ddl(records)}, year string, month string").parquet(root)
     counts = dated.groupBy(F.col("year").alias("y"), F.col("month").alias("m")).agg(
         F.count("*").alias("records")

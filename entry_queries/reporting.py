@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dosewright.operators import filters, rollups
-from dosewright.plans import reports
+from dosewright.plans import ingest, reports
 from dosewright.plans.marts import build_mart
 from dosewright.session import scratch_path, stored
-from dosewright.sources.curated import stored_size
+from dosewright.sinks.partitions import committed_counts
+from dosewright.sources import delimited
+from dosewright.sources.curated import load_curated, stored_size
 from dosewright.spec import MISSING_COUNT_COLUMNS
 from entry_queries import oracle
 from entry_queries.binding import curated, geography, table
@@ -127,6 +129,38 @@ def validation_measured(spark, sf_dir):
     return report.filter(F.col("metric").isin(*counts)).select("metric", "value")
 
 
+@query(
+    "AGG_21_validation_of_run",
+    """WITH g AS (SELECT l_orderkey % 2 AS run, l_orderkey, l_linenumber FROM lineitem),
+c AS (SELECT count(*) AS before, count(DISTINCT (run, l_orderkey, l_linenumber % 3)) AS after FROM g)
+SELECT 'original_records' AS metric, before AS value FROM c UNION ALL SELECT 'processed_records', after FROM c
+UNION ALL SELECT 'removed_duplicate_records', before - after FROM c
+UNION ALL SELECT 'quarantined_records', 0 * before FROM c""",
+)
+def validation_of_run(spark, sf_dir):
+    """Counts of a run that removed duplicates in two goes, as entered with its months."""
+    root = scratch_path(spark, "run")
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % 2).alias("run"),
+        F.concat_ws(";", "l_orderkey", (F.col("l_linenumber") % 3).cast("string")).alias("value"),
+    )
+    layout = delimited.Layout(("codigo_documento", "codigo_vacina"), ";", False)
+    for run in (0, 1):
+        folder = scratch_path(spark, "text")
+        lines.filter(F.col("run") == run).select("value").write.text(folder)
+        files = [
+            ingest.LandedFile(f, 2025, run + 1, layout) for f in spark.read.text(folder).inputFiles()
+        ]
+        ingest.ingest_files(spark, files, root, deduplicate=True)
+    processed = f"{root}/processed"
+    report = reports.validation_report(
+        load_curated(spark, processed).drop("year", "month"),
+        measured=reports.run_counts(committed_counts(spark, processed)),
+    )
+    counts = ("original_records", "processed_records", "removed_duplicate_records", "quarantined_records")
+    return report.filter(F.col("metric").isin(*counts)).select("metric", "value")
+
+
 @query(
     "AGG_22_missing_cells",
     oracle.over_curated(f"SELECT CAST({_CELLS} AS BIGINT) AS total_missing_values FROM curated"),
@@ -294,13 +328,15 @@ def metric_lookup(spark, sf_dir):
     ),
 )
 def kpis(spark, sf_dir):
-    def mart(name, *columns):
-        return build_mart(curated(spark, sf_dir, *columns), name)
+    """From summaries of one stored count, so the records are read once."""
+    keys = ("ano_vacinacao", "mes_vacinacao", "uf_paciente", "sg_vacina", "descricao_vacina")
+    counts = stored(curated(spark, sf_dir, *keys).groupBy(*keys).agg(F.count("*").alias("n")), "kpi-counts")
+
+    def mart(*columns):
+        return counts.groupBy(*columns).agg(F.sum("n").alias("doses_aplicadas"))
 
     return reports.kpis(
-        mart("monthly_vaccination_summary", "ano_vacinacao", "mes_vacinacao"),
-        mart("state_vaccination_summary", "uf_paciente"),
-        mart("vaccine_type_summary", "sg_vacina", "descricao_vacina"),
+        mart("ano_vacinacao", "mes_vacinacao"), mart("uf_paciente"), mart("sg_vacina", "descricao_vacina")
     )
 
 
@@ -362,12 +398,28 @@ def missing_from_summaries(spark, sf_dir):
     return reports.missing_totals(quality, places)
 
 
-@query("AGG_30_stored_size")
+@query(
+    "AGG_30_stored_size",
+    "SELECT count(*) AS records, true AS files_agree, true AS bytes_agree, true AS size_agrees FROM lineitem",
+)
 def stored_files(spark, sf_dir):
-    """Number and size of written files; depends on the writer, so there is no SQL for it."""
+    """Number and size of written files, against what the files say of themselves."""
     path = scratch_path(spark, "sized")
     curated(spark, sf_dir, "uf_paciente", "sg_vacina").write.parquet(path)
-    return stored_size(spark, path)
+    files = spark.read.parquet(path).groupBy("_metadata.file_path").agg(
+        F.count("*").alias("n"), F.first("_metadata.file_size").alias("length")
+    )
+    wanted = files.agg(
+        F.sum("n").alias("records"), F.count("*").alias("held"), F.sum("length").alias("length")
+    )
+    size = stored_size(spark, path)
+    return wanted.withColumns({c: size.select(c).scalar() for c in size.columns}).select(
+        "records",
+        # a task without rows writes a file all the same, which holds none
+        (F.col("files") >= F.col("held")).alias("files_agree"),
+        (F.col("bytes") >= F.col("length")).alias("bytes_agree"),
+        (F.col("size_mb") == F.round(F.col("bytes") / F.lit(1048576.0), 2)).alias("size_agrees"),
+    )
 
 
 # --- predicates that reports count with -------------------------------------

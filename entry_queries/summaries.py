@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dosewright.operators import rollups
 from dosewright.operators.dedup import drop_exact_duplicates, duplicate_counts
+from dosewright.operators.rollups import COUNT_OF_FLAG
 from dosewright.plans.marts import MARTS, build_mart, build_marts, legacy_marts
 from dosewright.spec import QUALITY_FLAGS
 from entry_queries import oracle
@@ -45,39 +46,54 @@ def all_marts_columns() -> list[str]:
     return list(dict.fromkeys([*(k for m in MARTS.values() for k in m.record_keys), *QUALITY_FLAGS]))
 
 
-def _mart_totals_sql() -> str:
+_KEYS = 8  # more than any summary has
+
+
+def _mart_rows_sql() -> str:
     parts = []
     for name, mart in MARTS.items():
         source = "enriched" if mart.needs_geography else "curated"
         keys = ", ".join(mart.keys)
-        complete = (
-            "CAST(sum(complete) AS BIGINT)" if mart.quality else "CAST(NULL AS BIGINT)"
+        padded = [f"CAST({k} AS VARCHAR) AS key_{i}" for i, k in enumerate(mart.record_keys)]
+        padded += [f"CAST(NULL AS VARCHAR) AS key_{i}" for i in range(len(mart.record_keys), _KEYS)]
+        place = "latitude AS place" if mart.needs_geography else "CAST(NULL AS DOUBLE) AS place"
+        flags = (
+            ", ".join(
+                f"count(*) FILTER (WHERE {f}) AS {f}"
+                for f in ("registro_completo", "idade_valida", "registro_valido_documento")
+            )
+            if mart.quality
+            else "CAST(NULL AS BIGINT) AS registro_completo, CAST(NULL AS BIGINT) AS idade_valida, "
+            "CAST(NULL AS BIGINT) AS registro_valido_documento"
         )
         parts.append(
-            f"SELECT '{name}' AS mart, count(*) AS mart_groups, CAST(sum(n) AS BIGINT) AS total, "
-            f"{complete} AS complete FROM (SELECT {keys}, count(*) AS n, "
-            f"count(*) FILTER (WHERE registro_completo) AS complete FROM {source} GROUP BY {keys})"
+            f"SELECT '{name}' AS mart, {', '.join(padded)}, {place}, count(*) AS total, {flags} "
+            f"FROM {source} GROUP BY {keys}"
         )
     return oracle.over_geo("\nUNION ALL\n".join(parts))
 
 
-@query("MART_all_from_cubes", _mart_totals_sql())
+@query("MART_all_from_cubes", _mart_rows_sql())
 def marts_from_cubes(spark, sf_dir):
-    """All fifteen summaries by way of the cubes: groups and totals of each."""
+    """All rows and values of the fifteen summaries by way of the cubes."""
     records = curated(spark, sf_dir, *all_marts_columns())
     made = build_marts(records, geography(spark, sf_dir))
-    totals = [
-        df.agg(
-            F.lit(name).alias("mart"),
-            F.count("*").alias("mart_groups"),
-            F.sum(MARTS[name].measure).alias("total"),
-            (
-                F.sum("registros_completos") if MARTS[name].quality else F.lit(None).cast("bigint")
-            ).alias("complete"),
-        )
-        for name, df in made.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), totals)
+
+    def shaped(name, df):
+        mart = MARTS[name]
+        keys = [F.col(k).cast("string").alias(f"key_{i}") for i, k in enumerate(mart.record_keys)]
+        keys += [F.lit(None).cast("string").alias(f"key_{i}") for i in range(len(keys), _KEYS)]
+        place = F.col("latitude") if mart.needs_geography else F.lit(None).cast("double")
+        flags = {
+            flag: F.col(count) if mart.quality else F.lit(None).cast("bigint")
+            for flag, count in COUNT_OF_FLAG.items()
+        }
+        return df.select(
+            F.lit(name).alias("mart"), *keys, place.alias("place"), F.col(mart.measure).alias("total"),
+            *(c.alias(f) for f, c in flags.items()),
+        )
+
+    return reduce(lambda a, b: a.unionByName(b), (shaped(n, df) for n, df in made.items()))
 
 
 @query(
