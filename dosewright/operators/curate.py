@@ -55,7 +55,7 @@ def cleaned(df: DataFrame, spec: CurationSpec) -> DataFrame:
     final |= {c: F.when(F.col(c) != "", F.col(c)) for c in codes}
     for c in DATE_COLUMNS:
         if c in types:
-            final[c] = values.parse_date(F.col(c), types[c], F.col(c))
+            final[c] = values.parse_date(F.col(c), types[c], F.col(c), spec.month_first)
     if AGE_COLUMN in types:
         final[AGE_COLUMN] = values.parse_number(F.col(AGE_COLUMN), types[AGE_COLUMN], F.col(AGE_COLUMN))
     return df.withColumns(final) if final else df

@@ -63,7 +63,7 @@ def finalize(
             validation, marts, stored_size(spark, processed), stored_size(spark, table_dir)
         ),
         "run_consistency_checks": reports.consistency_checks(validation, marts, must_pass),
-        "data_dictionary": documents.in_order(documents.data_dictionary(spark)),
+        "data_dictionary": documents.in_order(documents.data_dictionary(spark, records)),
     }
     if geography is not None:
         summary = marts["municipality_vaccination_summary"]

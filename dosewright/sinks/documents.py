@@ -10,40 +10,40 @@ from pyspark.sql import functions as F
 from dosewright.spec import DERIVED_COLUMNS, SENSITIVE_COLUMNS
 
 # The documented fields in their order, and an example of each.
-DICTIONARY_FIELDS = {
-    "data_vacina": "2025-01-14",
-    "ano_vacinacao": "2025",
-    "mes_vacinacao": "1",
-    "trimestre_vacinacao": "Q1",
-    "semana_epidemiologica": "3",
-    "sexo_paciente": "M",
-    "numero_idade_paciente": "59",
-    "faixa_etaria": "40-59",
-    "idade_valida": "true",
-    "uf_paciente": "SP",
-    "regiao_paciente": "Sudeste",
-    "codigo_municipio_paciente": "355030",
-    "nome_municipio_paciente": "SAO PAULO",
-    "uf_estabelecimento": "SP",
-    "razao_social_estabelecimento": "SECRETARIA MUNICIPAL DE SAUDE",
-    "nome_fantasia_estabelecimento": "UBS EXEMPLO",
-    "regiao_estabelecimento": "Sudeste",
-    "codigo_municipio_estabelecimento": "355030",
-    "municipio_paciente_igual_estabelecimento": "true",
-    "codigo_vacina": "26513",
-    "sg_vacina": "IGHT",
-    "descricao_vacina": "Imunoglobulina humana antitetano",
-    "descricao_dose_vacina": "1A DOSE",
-    "codigo_lote_vacina": "P100647543",
-    "descricao_vacina_fabricante": "CSL BEHRING",
-    "descricao_estrategia_vacinacao": "Rotina",
-    "descricao_sistema_origem": "SISTEMA A",
-    "st_documento": "FINAL",
-    "registro_deletado_rnds": "false",
-    "documento_final": "true",
-    "registro_valido_documento": "true",
-    "registro_completo": "true",
-}
+DICTIONARY_FIELDS = (
+    "data_vacina",
+    "ano_vacinacao",
+    "mes_vacinacao",
+    "trimestre_vacinacao",
+    "semana_epidemiologica",
+    "sexo_paciente",
+    "numero_idade_paciente",
+    "faixa_etaria",
+    "idade_valida",
+    "uf_paciente",
+    "regiao_paciente",
+    "codigo_municipio_paciente",
+    "nome_municipio_paciente",
+    "uf_estabelecimento",
+    "razao_social_estabelecimento",
+    "nome_fantasia_estabelecimento",
+    "regiao_estabelecimento",
+    "codigo_municipio_estabelecimento",
+    "municipio_paciente_igual_estabelecimento",
+    "codigo_vacina",
+    "sg_vacina",
+    "descricao_vacina",
+    "descricao_dose_vacina",
+    "codigo_lote_vacina",
+    "descricao_vacina_fabricante",
+    "descricao_estrategia_vacinacao",
+    "descricao_sistema_origem",
+    "st_documento",
+    "registro_deletado_rnds",
+    "documento_final",
+    "registro_valido_documento",
+    "registro_completo",
+)
 # Derived columns that judge the quality of a record.
 QUALITY_COLUMNS = (
     "idade_valida",
@@ -112,10 +112,20 @@ def kind_of(field: str) -> str:
     return _KINDS.get(field, _KIND_OF_TYPE.get(stored, stored))
 
 
-def data_dictionary(spark: SparkSession) -> DataFrame:
+def example_values(records: DataFrame) -> dict[str, str | None]:
+    """Least value of each described column; never of a sensitive one."""
+    known = [c for c in DICTIONARY_FIELDS if c in records.columns and c not in SENSITIVE_COLUMNS]
+    if not known:
+        return {}
+    return records.agg(*(F.min(c).cast("string").alias(c) for c in known)).first().asDict()
+
+
+def data_dictionary(spark: SparkSession, records: DataFrame | None = None) -> DataFrame:
+    """The described columns, with an example out of ``records`` where they are given."""
+    examples = example_values(records) if records is not None else {}
     rows = [
-        (i, f, kind_of(f), _MEANINGS[f], origin_of(f), example, f in SENSITIVE_COLUMNS)
-        for i, (f, example) in enumerate(DICTIONARY_FIELDS.items())
+        (i, f, kind_of(f), _MEANINGS[f], origin_of(f), examples.get(f), f in SENSITIVE_COLUMNS)
+        for i, f in enumerate(DICTIONARY_FIELDS)
     ]
     return spark.createDataFrame(
         rows,

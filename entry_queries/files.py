@@ -662,3 +662,22 @@ def views(spark, sf_dir):
 def metadata(spark, sf_dir):
     made = tables.dataset_metadata(table(spark, sf_dir, "lineitem"), "doses", "line items")
     return made.drop("generated_at")
+
+
+_DESCRIBED = ("ano_vacinacao", "numero_idade_paciente", "sexo_paciente", "sg_vacina", "faixa_etaria")
+
+
+@query(
+    "SNK_10_examples",
+    oracle.over_curated(
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS field, CAST(min({c}) AS VARCHAR) AS example_value FROM curated" for c in _DESCRIBED
+        )
+        + ")"
+    ),
+)
+def dictionary_examples(spark, sf_dir):
+    """Examples of the data dictionary, out of the records."""
+    made = documents.data_dictionary(spark, curated(spark, sf_dir, *_DESCRIBED))
+    return made.filter(F.col("field").isin(*_DESCRIBED)).select("field", "example_value")
