@@ -22,6 +22,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(checksum % HELD_OUT_OF == 0, F.lit(True))
 
 
+#: Rows of an Arrow batch. Spark counts rows, not bytes, and these rows are whole documents.
+BATCH_ROWS = 1000
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_SPARKS_OWN = "10000"
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to batches of few rows unless the session has a number of its own."""
+    conf = df.sparkSession.conf
+    if conf.get(_ROWS_SETTING, _SPARKS_OWN) == _SPARKS_OWN:
+        conf.set(_ROWS_SETTING, str(BATCH_ROWS))
+    return df
+
+
 def map_documents(
     docs: DataFrame,
     columns: list[str],
@@ -34,7 +48,7 @@ def map_documents(
         for batch in stream:
             yield from function(batch)
 
-    return docs.select(*columns).mapInArrow(batches, schema)
+    return short_batches(docs).select(*columns).mapInArrow(batches, schema)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

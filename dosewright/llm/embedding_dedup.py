@@ -33,16 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from dosewright.llm.common import record_batch
+from dosewright.llm.common import record_batch, short_batches
 from dosewright.llm.components import components, forest
 from dosewright.session import stored
 
 THRESHOLD = 0.9
 BLOCK = 16
 #: Points that a part of a cell has at home; cells get one dimension for each doubling beyond.
-HOME = 4096
+HOME = 16384
 MOST_SIGNS = 8
 TILE = 1024
+#: Points in a row of a cell. Arrow batches count rows, so this bounds their bytes.
+ROW = 32
 SEED = 29
 #: Room for rounding in squared distances.
 SLACK = 1e-9
@@ -147,6 +149,7 @@ def _placed(geometries: dict[int, Geometry], kind: str):
             sizes = batch.column("n").to_numpy(zero_copy_only=False)
             raws = batch.column("raw").to_pylist()
             lengths = np.array([len(r) // width for r in raws])
+            rows_of_cells: list[tuple] = []
             for dimension in np.unique(lengths):
                 g = geometries[int(dimension)]
                 rows = np.flatnonzero(lengths == dimension)
@@ -160,12 +163,19 @@ def _placed(geometries: dict[int, Geometry], kind: str):
                         there = home == cell
                         for visits, chosen in ((False, there), (True, ~there & near[np.arange(len(rows)), home ^ cell])):
                             at = np.flatnonzero(chosen)
-                            for start in range(0, len(at), HOME):
-                                some = at[start : start + HOME]
-                                yield record_batch(
-                                    _VISIT, [_cell_code(int(dimension), b, cell)], [visits], [len(some)],
-                                    [own[some].tobytes()], [many[some].tobytes()], [x[some].tobytes()],
+                            for start in range(0, len(at), ROW):
+                                some = at[start : start + ROW]
+                                rows_of_cells.append(
+                                    (
+                                        _cell_code(int(dimension), b, cell), visits, len(some),
+                                        own[some].tobytes(), many[some].tobytes(), x[some].tobytes(),
+                                    )
                                 )
+                                if len(rows_of_cells) == 1024:
+                                    yield record_batch(_VISIT, *zip(*rows_of_cells))
+                                    rows_of_cells.clear()
+            if rows_of_cells:
+                yield record_batch(_VISIT, *zip(*rows_of_cells))
 
     return run
 
@@ -186,8 +196,16 @@ class _Points:
         self.links = np.zeros(len(self.ids), dtype=np.int64)
 
 
-def _compare(g: Geometry, b: int, home: _Points, other: _Points, same: bool, edges: list) -> None:
-    """Counts the verified links of home points with others; ``same``: the others are at home as well."""
+ALL, LESS, VISITS = range(3)
+
+
+def _compare(g: Geometry, b: int, home: _Points, other: _Points, rule: int, edges: list) -> None:
+    """Counts the verified links of home points with others.
+
+    ``rule`` says which pairs count here: all of them; those where the home
+    point has the smaller id, as the others are at home too and meet twice; or,
+    of visitors, those that do not meet in a smaller cell.
+    """
     half = g.share / 2
     for i in range(0, len(home.ids), TILE):
         for j in range(0, len(other.ids), TILE):
@@ -196,7 +214,9 @@ def _compare(g: Geometry, b: int, home: _Points, other: _Points, same: bool, edg
             left, right = np.nonzero(near <= g.share + 1e-4)
             for at in range(0, len(left), 1 << 16):
                 p, q = left[at : at + (1 << 16)] + i, right[at : at + (1 << 16)] + j
-                if same:
+                if rule == ALL:
+                    once = np.ones(len(p), dtype=bool)
+                elif rule == LESS:
                     once = home.ids[p] < other.ids[q]
                 else:  # both may visit each other's cell: the pair counts in the smaller one
                     change = home.home[p] ^ other.home[q]
@@ -218,37 +238,54 @@ _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())]
 
 
 def _joined(geometries: dict[int, Geometry], kind: str):
-    """Range join of sorted cell rows: a part's home points first, then its visitors one row at a time."""
+    """Range join of sorted cell rows: a part's home points first, then those that are compared with them."""
 
-    def rows(points: _Points):
+    def links(points: _Points):
         found = np.flatnonzero(points.links)
         if len(found):
             yield record_batch(_FOUND, points.ids[found], pa.nulls(len(found), pa.int64()), points.links[found])
 
+    def chunks(batches):
+        """Rows of one cell, part and kind put together up to a tile's points."""
+        key, held, size = None, [], 0
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("cell", "part", "parts", "own", "visits", "ids", "sizes", "raws"))
+            for *now, ids, sizes, raws in zip(*columns):
+                if held and (now != key or size >= TILE):
+                    yield key, [b"".join(x) for x in zip(*held)]
+                    held, size = [], 0
+                key = now
+                held.append((ids, sizes, raws))
+                size += len(ids) // 8
+        if held:
+            yield key, [b"".join(x) for x in zip(*held)]
+
     def run(batches):
         current, homes = None, []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("cell", "part", "visits", "own", "ids", "sizes", "raws")]
-            for cell, part, visits, own, ids, sizes, raws in zip(*columns):
-                g, b = geometries[cell >> 32], cell >> 16 & 0xFFFF
-                edges: list = []
-                if (cell, part) != current:
-                    for points in homes:
-                        yield from rows(points)
-                    current, homes = (cell, part), []
-                points = _Points(g, b, kind, ids, sizes, raws)
-                if not visits and own:
-                    homes.append(points)
-                    continue
+        for (cell, part, parts, own, visits), packed in chunks(batches):
+            g, b = geometries[cell >> 32], cell >> 16 & 0xFFFF
+            edges: list = []
+            if (cell, part) != current:
+                for points in homes:
+                    yield from links(points)
+                current, homes = (cell, part), []
+            points = _Points(g, b, kind, *packed)
+            if own:
+                if parts == 1:  # else home points come as guests of all parts, this one included
+                    for home in homes:
+                        _compare(g, b, home, points, ALL, edges)
+                    _compare(g, b, points, points, LESS, edges)
+                homes.append(points)
+            else:
                 for home in homes:
-                    _compare(g, b, home, points, not visits, edges)
-                yield from rows(points)
-                if edges:
-                    x, y = (np.concatenate(e) for e in zip(*edges))
-                    x, y = forest(x, y)
-                    yield record_batch(_FOUND, x, y, pa.nulls(len(x), pa.int64()))
+                    _compare(g, b, home, points, VISITS if visits else LESS, edges)
+                yield from links(points)
+            if edges:
+                x, y = (np.concatenate(e) for e in zip(*edges))
+                x, y = forest(x, y)
+                yield record_batch(_FOUND, x, y, pa.nulls(len(x), pa.int64()))
         for points in homes:
-            yield from rows(points)
+            yield from links(points)
 
     return run
 
@@ -266,7 +303,7 @@ def embedding_groups(table: DataFrame, column: str = "embedding", threshold: flo
     )
     kind = "<f4" if single else "<f8"
     width = np.dtype(kind).itemsize
-    vectors = stored(usable_vectors(table, column, kind), "vectors")
+    vectors = stored(usable_vectors(short_batches(table), column, kind), "vectors")
     usable = vectors.where("raw is not null").distinct()
     classes = stored(usable.groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "classes")
     counts = classes.groupBy((F.length("raw") / width).cast("int").alias("d")).count().collect()  # by dimension
@@ -277,7 +314,7 @@ def embedding_groups(table: DataFrame, column: str = "embedding", threshold: flo
     cut = cells.join(parts, "cell")  # a cell where nobody is at home has no pairs
     dealt = F.pmod(F.xxhash64("ids"), F.col("parts")).cast("int")
     home = cut.where("not visits").select("*", dealt.alias("part"), F.lit(True).alias("own"))
-    guests = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("own"))
+    guests = cut.where("visits or parts > 1").select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("own"))
     found = (
         home.unionByName(guests.select(*home.columns))
         .repartition("cell", "part")
