@@ -27,7 +27,9 @@ def drop_exact_duplicates(
     """One row per combination of the compared columns.
 
     The columns not compared come from the copy that is least by
-    ``keep_least`` and then by the others, so a rerun keeps the same copy.
+    ``keep_least`` and then by the others, so a rerun keeps the same copy. A
+    single number to keep is aggregated by hashing; texts, or several columns,
+    make Spark sort the rows.
     """
     keys = compared_columns(df, sensitive)
     others = sorted((c for c in df.columns if c not in keys), key=lambda c: c not in keep_least)

@@ -71,6 +71,12 @@ def test_dates(spark):
     assert got == list(expected.values())
 
 
+def test_dates_with_the_month_first(spark):
+    expected = {"05/03/2025": "2025-05-03", "13-03-2025 10:00": "2025-03-13", "2025-03-05": "2025-03-05", "05/32/2025": None}
+    got = mapped(spark, lambda c: values.parse_date(c, month_first=True).cast("string"), list(expected))
+    assert got == list(expected.values())
+
+
 def test_calendar(spark):
     dates = ["2024-12-30", "2021-01-03", "2025-01-14", None]
     assert mapped(spark, lambda c: values.iso_week(c.cast("date")), dates) == [1, 53, 3, None]

@@ -240,6 +240,9 @@ def test_failed_check_can_stop_a_run(spark):
 
 
 def test_documents(spark, landing):
+    records = spark.createDataFrame([("b", "p"), ("a", None)], "sg_vacina string, codigo_paciente string")
+    examples = {r.field: r.example_value for r in documents.data_dictionary(spark, records).collect()}
+    assert examples["sg_vacina"] == "a" and set(examples.values()) == {"a", None}
     dictionary = documents.data_dictionary(spark)
     rows = {r.field: r for r in dictionary.collect()}
     assert len(rows) == 32
