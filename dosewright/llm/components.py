@@ -74,18 +74,19 @@ def _toward_minimum(links: DataFrame, larger: bool) -> DataFrame:
     return out.where("a < b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, contracted: bool = False) -> DataFrame:
     """(node, component) of every node that is not the smallest of its component.
 
     ``links`` has two long columns ``a`` and ``b``; order, repeats and self
     links do not matter, links with a null end are dropped. No links give an
-    empty table. ``component`` is the smallest node reachable.
+    empty table. ``component`` is the smallest node reachable. ``contracted``
+    says that :func:`contract_batches` has been applied where the links are made.
     """
-    links = (
-        links.where("a is not null and b is not null and a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .mapInArrow(contract_batches, "a long, b long")
+    links = links.where("a is not null and b is not null and a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
+    if not contracted:
+        links = links.mapInArrow(contract_batches, "a long, b long")
     links = stored(links.distinct(), "links")
     mark = None
     while True:

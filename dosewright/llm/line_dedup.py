@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from dosewright.llm.common import as_bytes, record_batch
+from dosewright.llm.common import as_bytes, record_batch, short_batches
 from dosewright.session import stored
 
 MIN_CODE_POINTS = 10
@@ -209,7 +209,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     all its lines becomes empty. Further columns pass through; those named like
     the two counts are replaced. An empty table gives an empty result.
     """
-    docs = docs.drop("n_lines", "n_dropped", "drops")
+    docs = short_batches(docs).drop("n_lines", "n_dropped", "drops")
     drops = repeated_keys(docs).groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("drops"))
     schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
     return docs.join(drops, "doc_id", "left").select(*docs.columns, "drops").mapInArrow(_cut, schema)

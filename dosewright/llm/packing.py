@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from dosewright.llm.common import as_texts, map_documents, record_batch
+from dosewright.llm.common import as_texts, record_batch, short_batches
 from dosewright.session import stored
 
 CAPACITY = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
-#: Tokenized words that a Python worker remembers; the memory is emptied when full.
-REMEMBERED = 400_000
+#: Tokenized words that a task remembers; the memory is emptied when full, and at its end.
+REMEMBERED = 150_000
 
 # The split of the tokenizer's own file.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -92,6 +92,10 @@ class WordTokenizer:
             parts.append(ids)
         return b"".join(parts)
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.pieces.clear()
+
     def __call__(self, text: str) -> bytes:
         words = _SPACES.split(text) if _NOT_SPACE.search(text) else text.split()
         known = self.words
@@ -128,22 +132,21 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
     """
     end = np.array([END], dtype="<u4").tobytes()
 
-    def run(batch):
+    def run(batches):
         encode = word_tokenizer(path)
-        rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_texts(batch.column("text"))):
-            ids = encode(text) + end
-            for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                part = ids[start : start + 4 * capacity]
-                rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part), part))
-        if rows:
-            yield record_batch(_PIECE, *zip(*rows))
-
-    return map_documents(
-        docs,
-        ["doc_id", "text"],
-        run,
-        "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary",
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_texts(batch.column("text"))):
+                ids = encode(text) + end
+                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[start : start + 4 * capacity]
+                    rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part), part))
+            if rows:
+                yield record_batch(_PIECE, *zip(*rows))
+        encode.forget()  # the Python worker goes on to other tasks
+
+    return short_batches(docs).select("doc_id", "text").mapInArrow(
+        run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
     )
 
 

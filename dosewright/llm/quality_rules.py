@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dosewright.llm.common import SPACE, as_texts, map_documents, record_batch
+from dosewright.llm.common import SPACE, as_texts, map_documents, record_batch, short_batches
 
 WORDS = re.compile("[^\\x20\\x09-\\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -165,4 +165,4 @@ def quality_rules_kept(docs: DataFrame) -> DataFrame:
             verdicts = [measure(text)[6] for text in as_texts(batch.column("text"))]
             yield batch.filter(pa.array(verdicts, pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return short_batches(docs).mapInArrow(kept, docs.schema)

@@ -123,7 +123,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_chat_format")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = chat.with_trial(table(spark, sf_dir, "conversations"))
-    return chat.digests(chat.formatted_turns(talks)).drop("rewritten")
+    return chat.digests(talks).drop("rewritten")
 
 
 EMBEDDING_SQL = r"""

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosewright.llm.common import as_bytes, map_documents, record_batch
-from dosewright.llm.components import components, forest
+from dosewright.llm.components import components, contract_batches, forest
 from dosewright.session import stored
 
 SHINGLE_WORDS = 3
@@ -111,6 +111,11 @@ def _links_of_entry(fp: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.nd
     return forest(node[left], node[right])
 
 
+def _contracted_links(batches):
+    """A forest of the links of each batch; in one function, so that a task needs one Python worker."""
+    return contract_batches(_links(batches))
+
+
 def _links(batches):
     """Links of sorted index rows; an entry that goes on in the next batch is carried over."""
     carried = None
@@ -153,7 +158,7 @@ def links(nodes: DataFrame) -> DataFrame:
         .mapInArrow(_index, "key long, fp long, node long")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_links, "a long, b long")
+        .mapInArrow(_contracted_links, "a long, b long")
     )
 
 
@@ -169,7 +174,7 @@ def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataF
     """
     prints = stored(fingerprints(docs, shingle_words), "fingerprints")
     nodes = stored(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    roots = components(links(nodes))
+    roots = components(links(nodes), contracted=True)
     classes = nodes.join(roots, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(classes, "fp", "left").select(
         "doc_id",

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dosewright.llm.common import as_texts, held_out, map_documents, record_batch
+from dosewright.llm.common import as_texts, held_out, record_batch, short_batches
 from dosewright.llm.quality_model import sample
 from dosewright.session import stored
 
@@ -40,7 +40,7 @@ BY_CHANCE = 0.05
 #: Letters of the word beginnings that count as features of their own.
 BEGINNINGS = (4, 5, 6, 7)
 #: Words that a Python worker remembers; the memory is emptied when full.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 # Letters that signs and digits stand for.
 LOOK_ALIKE = {
@@ -352,6 +352,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS
     toxic rows, also for null and empty texts. ``found`` lists the features.
     Repeated rows are scored alike. Without usable labels no feature is known.
     """
+    short_batches(docs)
     model = language_model(trigram_counts(docs))
     lexicon, prior = learn(docs, labels, model, limit)
 

@@ -103,8 +103,7 @@ TALKS = [
 
 def test_chat_round_trip(spark):
     talks = spark.createDataFrame([(*t, "clash") for t in TALKS], "conv_id long, turn long, role string, text string, number string")
-    turns = chat.formatted_turns(talks.repartition(4))
-    got = {r.conv_id: r for r in chat.digests(turns).collect()}
+    got = {r.conv_id: r for r in chat.digests(talks.repartition(4)).collect()}
     by_id = defaultdict(list)
     for conv_id, turn, role, text in TALKS:
         by_id[conv_id].append((-1 if turn is None else turn, role or "", text or ""))
@@ -119,12 +118,14 @@ def test_chat_round_trip(spark):
         assert tuple(r)[1:] == (
             len(held), sha, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(whole), False,
         )
-    assert chat.digests(chat.formatted_turns(talks.limit(0))).count() == 0
+        pieces = chat.formatted_turns(talks).where(F.col("conv_id").eqNullSafe(conv_id)).orderBy("number").collect()
+        assert "".join(p.formatted for p in pieces) == whole
+    assert chat.digests(talks.limit(0)).count() == 0
 
 
 def test_trial_conversation(spark):
     talks = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
-    r = chat.digests(chat.formatted_turns(chat.with_trial(talks))).first()
+    r = chat.digests(chat.with_trial(talks)).first()
     assert (r.conv_id, r.n_turns, r.loss_chars) == (-1, 2, 21)
     assert r.loss_sha256 == hashlib.sha256(b"</s>[INST] ok [/INST]").hexdigest()
 
