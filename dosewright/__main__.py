@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import argparse
 import os
+import shutil
 import sys
+import tempfile
 
 # spark-submit puts the folder of this file on the path, not the one that holds the package.
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -38,9 +40,20 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(arguments)
 
 
+def ship_package(spark) -> None:
+    """Sends the package to the executors, whose Python functions import it."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(package):  # run from an archive that spark-submit has shipped already
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="run-"), "dosewright")
+    archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+
+
 def main(arguments: list[str] | None = None) -> None:
     chosen = options(arguments)
     spark = session()
+    ship_package(spark)
     before = stored_so_far(spark)
     spec = CurationSpec(
         keep_sensitive=chosen.keep_sensitive, only_valid_documents=chosen.only_valid_documents
