@@ -15,6 +15,7 @@ a part. A length that a third of all pieces have is so spread over all parts.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from functools import lru_cache
@@ -33,7 +34,7 @@ from dosewright.session import stored
 CAPACITY = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
-#: Tokenized words that a task remembers; the memory is emptied when full, and at its end.
+#: Tokenized words in one generation of a task's memory, which is emptied at its end.
 REMEMBERED = 150_000
 
 # The split of the tokenizer's own file.
@@ -56,6 +57,31 @@ _PIECE = pa.schema(
 )
 
 
+class Memory(dict):
+    """Results of a function, of two generations: when the younger is full, the older is let go.
+
+    What is asked for again moves to the younger one, so frequent keys stay.
+    """
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
+
 class WordTokenizer:
     """Ids of whole texts as little-endian bytes, one cached word at a time.
 
@@ -68,8 +94,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = Memory(self._word, REMEMBERED)
+        self.pieces = Memory(self._piece, REMEMBERED)
         letters = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in letters]
         # bytes as the byte-level model spells them: printable ones as they are, others from U+0100 on
@@ -80,37 +106,20 @@ class WordTokenizer:
             return np.array(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if not word.isascii():
             word = unicodedata.normalize("NFC", word)
-        parts = []
-        for part in _SPLIT.findall(word.lower()):
-            ids = self.pieces.get(part)
-            if ids is None:
-                spelt = part if part.isascii() else "".join(map(self.spelling.__getitem__, part.encode()))
-                ids = np.array([t.id for t in self.whole.model.tokenize(spelt)], dtype="<u4").tobytes()
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[part] = ids
-            parts.append(ids)
-        return b"".join(parts)
+        return b"".join(map(self.pieces.__getitem__, _SPLIT.findall(word.lower())))
+
+    def _piece(self, part: str) -> bytes:
+        spelt = part if part.isascii() else "".join(map(self.spelling.__getitem__, part.encode()))
+        ids = [t.id for t in self.whole.model.tokenize(spelt)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def forget(self) -> None:
-        self.words.clear()
-        self.pieces.clear()
+        self.words.forget()
+        self.pieces.forget()
 
     def __call__(self, text: str) -> bytes:
         words = _SPACES.split(text) if _NOT_SPACE.search(text) else text.split()
-        known = self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            out = []
-            for w in words:
-                ids = known.get(w)
-                if ids is None:
-                    ids = known[w] = self._word(w)
-                out.append(ids)
-            return b"".join(out)
+        return b"".join(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
