@@ -3,11 +3,11 @@
 Two Bloom filters tell keys seen once from keys seen twice. At corpus size
 neither fits one machine, so both are cut into hash ranges:
 
-1. Each task reads its documents once with a pair of small filters of its own.
-   The first sighting of a key goes, as a 16-byte digest with its document's
-   number, to the range the digest falls in; the second sighting sends one mark
-   there; this and every later sighting is a suspect already and needs no test.
-   A line that a third of all documents hold so costs each task two rows.
+1. Each task reads its documents once with a small filter of its own. The first
+   sighting of a key goes, as a 16-byte digest with its document's number, to the
+   range the digest falls in; every later sighting is a suspect already and needs
+   no test. A batch with later sightings of a key sends one mark to its range; no
+   filter holds marks back, as a mark left out could lose the first sighting.
 2. A range's task fills its pair of filters from what all tasks sent and lets
    through the sightings whose key is in the twice-seen filter.
 3. Only these suspects are shuffled again, for the exact answer: the 16-byte
@@ -93,7 +93,7 @@ def _sightings(shards: int):
     """Step 1 for the batches of one task."""
 
     def run(batches):
-        once, twice = Bloom(TASK_KEYS), Bloom(TASK_KEYS)
+        once = Bloom(TASK_KEYS)
         for batch in batches:
             digests, owners = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
@@ -112,12 +112,10 @@ def _sightings(shards: int):
             first = lead & ~once.has(h1, h2)
             once.add(h1[first], h2[first])
             again = ~first
-            # one mark for a key: its first repeat that the task's own filter has not noted
+            # one mark for a key and batch
             mark = np.zeros(len(h1), dtype=bool)
             at = np.flatnonzero(again)
             mark[at[_lead(h1[at], h2[at])]] = True
-            mark &= ~twice.has(h1, h2)
-            twice.add(h1[mark], h2[mark])
             shard = (h1.view(np.uint64) % np.uint64(shards)).astype(np.int32)
             scattered = (owners.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(shards)
             for kind, chosen, to in ((_FIRST, first, shard), (_MARK, mark, shard), (_SUSPECT, again, scattered)):

@@ -107,6 +107,34 @@ def test_line_dedup_against_plain_version(docs, monkeypatch, bits):
     assert {r.doc_id: r.text for r in rows}[3] is None
 
 
+@pytest.mark.parametrize("task_keys", [64, 128, 256, 512])
+def test_nearly_full_filters_lose_no_repeat(monkeypatch, task_keys):
+    """Several batches of one task: every document that shares a line is a suspect of it."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(line_dedup, "TASK_KEYS", task_keys)
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    lines = [f"line number {i} of many" for i in range(2000)]
+    held = [[lines[(i * 7 + j * 131) % len(lines)] for j in range(8)] for i in range(300)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(i, i + 20)), pa.array(["\n".join(x) for x in held[i : i + 20]])], schema=schema)
+        for i in range(0, 300, 20)
+    ]
+    found = {
+        (h1, h2, doc_id)
+        for batch in line_dedup._tested(line_dedup._sightings(1)(batches))
+        for h1, h2, doc_id in zip(*(c.to_pylist() for c in batch.columns))
+    }
+    holders = defaultdict(set)
+    for i, held_lines in enumerate(held):
+        for line in held_lines:
+            holders[line].add(i)
+    for line, ids in holders.items():
+        key = line_dedup.digest(line.encode())
+        halves = [int.from_bytes(key[at : at + 8], "little", signed=True) for at in (0, 8)]
+        assert len(ids) < 2 or all((*halves, i) in found for i in ids), line
+
+
 def test_line_dedup_of_a_line_that_all_have(spark):
     docs = spark.range(0, 3000).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("the line that all have\nown line "), F.col("id")).alias("text")
