@@ -42,18 +42,25 @@ _PRINT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
-    """Majority bits of the XXH64 of all word shingles; 0 for a text without words."""
+def shingle_hashes(text: bytes, shingle_words: int) -> list[int]:
+    """XXH64 of all word shingles; a shorter text is one shingle, a text without words has none."""
     words = _WORDS.findall(text.lower())
     n = len(words)
     if not n:
-        return 0
+        return []
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=n) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     k = min(shingle_words, n)
     hashed, seed = xxhash.xxh64_intdigest, SEED
-    values = [hashed(joined[s:e], seed) for s, e in zip(starts[: n - k + 1].tolist(), ends[k - 1 :].tolist())]
+    return [hashed(joined[s:e], seed) for s, e in zip(starts[: n - k + 1].tolist(), ends[k - 1 :].tolist())]
+
+
+def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
+    """Majority bits of the XXH64 of all word shingles; 0 for a text without words."""
+    values = shingle_hashes(text, shingle_words)
+    if not values:
+        return 0
     bits = np.unpackbits(np.array(values, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
     counts = bits.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > len(values)).tobytes(), "big")

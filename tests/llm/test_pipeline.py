@@ -1,12 +1,14 @@
 """The five stages over a small corpus against a plain version of each."""
 
+import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import pytest
 
 import corpus_pipeline
-from dosewright.llm import mixing, quality_rules, simhash
+from dosewright.llm import mixing, near_copies, quality_rules, simhash
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -96,3 +98,48 @@ def test_run_goes_through_all_stages(spark, folder):
     ]
     assert corpus_pipeline.run(spark, folder).count() > 50
     assert corpus_pipeline.ORACLE_SQL is None and mixing.MAX_EPOCHS >= corpus_pipeline.MAX_EPOCHS
+
+
+def plain_shingles(text):
+    words = [w.lower() for w in WORDS.findall(text or "")]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.fixture(scope="module")
+def copies():
+    """Chains of documents, each with some words of the one before changed, on both sides of 0.8."""
+    draw = random.Random(3)
+    texts = []
+    for _ in range(25):
+        words = [f"w{draw.randrange(5000)}" for _ in range(draw.randrange(60, 300))]
+        for changed in (0, 1, 2, 4, 6, 9):
+            for _ in range(changed):
+                words[draw.randrange(len(words))] = f"n{draw.randrange(5000)}"
+            texts.append(" ".join(words))
+    texts += ["one two three", "One two  three", "one two four", "a b c d e", "a b c d e f"]
+    draw.shuffle(texts)
+    return texts
+
+
+def test_near_copies_against_all_pairs(spark, copies):
+    sets = [plain_shingles(t) for t in copies]
+    root = list(range(len(copies)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    beyond_two_bits = 0
+    for i, j in combinations(range(len(copies)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            low, high = sorted((find(i), find(j)))
+            root[high] = low
+            prints = [simhash.fingerprint(copies[k].encode()) for k in (i, j)]
+            beyond_two_bits += (prints[0] ^ prints[1]).bit_count() > 2
+    assert beyond_two_bits > 20  # what the two-bit rule of op8 would leave
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(copies)], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.without_near_copies(spark, docs.repartition(3), "")
+    assert kept.columns == docs.columns
+    assert {r.doc_id: r.text for r in kept.collect()} == {i: t for i, t in enumerate(copies) if find(i) == i}
+    assert near_copies.without_near_copies(docs.limit(0)).count() == 0
