@@ -4,8 +4,10 @@ Channel: a writer replaces letters by look-alikes (``1d10t``), puts signs or
 blanks between them (``i.d i o t``) or repeats them (``idiooot``). A word so
 written is a lattice of readings for each character, each with a channel cost.
 Viterbi decoding picks the reading most likely under a character trigram model,
-which is counted over all documents. Words of letters without such traces have a
-single reading and are taken as they stand. Decoded words are remembered.
+which is counted over all documents. Words of letters without such traces, at the
+end or elsewhere, have a single reading and are taken as they stand, as are
+tokens without a letter. Tokens of more than 64 characters are decoded in pieces
+cut at signs. Decoded words are remembered.
 
 Scoring: words and word beginnings of restored text, learnt from a bounded sample
 of labelled rows. Candidates occur in toxic rows almost only. Those that would
@@ -53,9 +55,14 @@ SUBSTITUTED, FILLED, SHORTENED, DROPPED, WILD = 1.5, 0.5, 0.5, 5.0, 2.0
 
 _EDGE = ".,;:?\"'()[]{}<>#*%&|!~-_"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_TRACES = re.compile(
-    r"[^\W\d_].*[0-9@$!|+€£(.\-_*'~·•].*[^\W_]|[0-9@$!|+€£(][^\W_]*[^\W\d_]|([^\W\d_])\1\1"
-)
+_SIGN = re.compile(r"[0-9@$!|+€£(.\-_*'~·•]")
+_REPEATED = re.compile(r"([^\W\d_])\1\1")
+#: What parts the words of a token: signs that are no look-alikes, and no star in place of a letter.
+_PARTS = re.compile(r"[^\w@$!|+€£(*]+|_+")
+_LONG_RUN = re.compile(r"(.)\1{3,}")
+_AROUND = ".,;:?\"'()[]{}<>"
+#: Characters decoded at once; longer stretches go in pieces that overlap by half.
+PIECE = 64
 #: Four or more single characters, one sign or blank between each.
 _SPACED = re.compile(r"(?<!\S)(?:[\w@$!|+][ .\-_*]){3,}[\w@$!|+](?![^\s.,;:?!])")
 
@@ -106,6 +113,42 @@ def language_model(counts: DataFrame) -> np.ndarray:
     return np.log((n + 5.0 * backed[None]) / (n.sum(axis=2, keepdims=True) + 5.0))
 
 
+def has_traces(written: str) -> bool:
+    """Whether letters come with a look-alike or a filler, at whatever place, or a letter is repeated."""
+    return bool(_LETTERS.search(written) and (_SIGN.search(written) or _REPEATED.search(written)))
+
+
+def pieces(token: str) -> list[str]:
+    """What is decoded of a token: the whole, its parts between signs, and overlapping pieces where it is long."""
+    whole = _LONG_RUN.sub(r"\1\1\1", token.strip(_AROUND))  # more than three say no more than three
+    if not has_traces(whole):
+        return []
+    parts = [p for p in _PARTS.split(whole) if p]
+    found = dict.fromkeys(p for p in (whole, *parts) if len(p) <= PIECE)
+    if len(whole) > PIECE:
+        for part in parts:
+            if len(part) > PIECE:
+                found.update(dict.fromkeys(part[at : at + PIECE] for at in range(0, len(part) - PIECE // 2, PIECE // 2)))
+        # words spelt with signs between: runs of single characters, then stretches from part to part
+        spelt: list[str] = []
+        for part in (*parts, ""):
+            if len(part) == 1:
+                spelt.append(part)
+                continue
+            text = "-".join(spelt)
+            if len(spelt) > 1:
+                found.update(dict.fromkeys(text[at : at + PIECE] for at in range(0, max(1, len(text) - PIECE // 2), PIECE // 2)))
+            spelt = []
+        for first, part in enumerate(parts):
+            stretch = part
+            for further in parts[first + 1 :]:
+                stretch += "-" + further
+                if len(stretch) > PIECE // 2:
+                    break
+                found[stretch] = None
+    return list(found)
+
+
 class Restorer:
     """Restores words under a character model given as nested lists."""
 
@@ -154,12 +197,17 @@ class Restorer:
         return min(((cost - model[a][b][0], read) for (a, b), (cost, read) in beams.items()), default=(0, ""))[1]
 
     def words(self, token: str) -> tuple[str, ...]:
-        """Restored words of a lower-cased stretch without white space."""
-        core = token.strip(_EDGE)
-        plain = tuple(_LETTERS.findall(core))
-        if len(core) > 64 or not _TRACES.search(token.strip(".,;:?\"'()[]{}<>")):
-            return plain
-        return (*plain, self.decode(token.strip(".,;:?\"'()[]{}<>").rstrip("!")))
+        """Restored words of a lower-cased stretch without white space.
+
+        A ``!`` at the end is read both as a mark and as a letter.
+        """
+        plain = _LETTERS.findall(token.strip(_EDGE))
+        decoded = dict.fromkeys(plain)
+        for piece in pieces(token):
+            for written in {piece, piece.rstrip("!")}:
+                if has_traces(written):
+                    decoded[self.decode(written)] = None
+        return tuple(decoded)
 
     def spaced(self, text: str) -> list[str]:
         """Restored words of spelt-out stretches (``i d i o t``) of a lower-cased text."""

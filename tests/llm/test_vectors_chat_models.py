@@ -152,6 +152,26 @@ def test_black_box_spans():
     assert flags == [False, False, True]
 
 
+def numbered(turns):
+    return "".join(f"{'first' if not i else i}:{t};" for i, (_, t) in enumerate(turns))
+
+
+def trimmed(turns):
+    """Cuts the first turn once there are more than thirty."""
+    return "".join(t[:3] if not i and len(turns) > 30 else t for i, (_, t) in enumerate(turns))
+
+
+def test_long_conversations_are_rendered_whole():
+    turns = [("user", f"turn {i} " + "long " * 150) for i in range(40)]
+    prefixes = chat.Prefixes(numbered)
+    assert "".join(prefixes.add(*t, True)[0] for t in turns) == numbered(turns)
+    prefixes = chat.Prefixes(trimmed)
+    assert [prefixes.add(*t, False)[3] for t in turns] == [i == 30 for i in range(40)]
+    prefixes = chat.Prefixes(chat.template)  # declared as append-only: goes on from the last turns
+    assert "".join(prefixes.add(*t, True)[0] for t in turns) == chat.template(turns)
+    assert len(prefixes.turns) < 20
+
+
 # --- classifiers -------------------------------------------------------------
 
 
@@ -233,6 +253,21 @@ def test_obfuscated_words_are_restored(spark):
     assert restore("plain words, as they stand.") == {"plain", "words", "as", "they", "stand"}
 
 
+def test_words_with_look_alikes_at_the_end_and_long_tokens_are_restored(spark):
+    words = "stupid idiot moron class ass the of and that there other with from have this they will would people good".split()
+    draw = random.Random(1)
+    docs = spark.createDataFrame([(1, " ".join(draw.choice(words) for _ in range(4000)))], "doc_id long, text string")
+    restore = toxicity.Words(toxicity.language_model(toxicity.trigram_counts(docs)))
+    joined = "-".join(["people", "of", "that"] * 10)
+    for written, meant in (
+        ("idio7", "idiot"), ("idio7!", "idiot"), ("a$$", "ass"), ("idio+", "idiot"),
+        ("idi" + "o" * 90 + "t", "idiot"), (f"{joined}-1d10t-{joined}", "idiot"), (f"{joined}/m0r0n", "moron"),
+        (f"{joined}-i.d.i.o.t-{joined}", "idiot"), (f"{joined}.st.up1d.{joined}", "stupid"), (f"{joined}.st.u.p1d.{joined}", "stupid"), (f"{joined}-idio7", "idiot"),
+        ("you-are-1d10t-there", "idiot"),
+    ):
+        assert meant in restore(written), written
+
+
 def test_words_learnt_as_toxic(spark):
     draw = random.Random(4)
     plain = [f"{a}{b}" for a in ("ba", "ce", "di", "fo") for b in ("na", "le", "mi", "ro", "su", "ta", "vo")]
