@@ -143,3 +143,15 @@ def test_near_copies_against_all_pairs(spark, copies):
     assert kept.columns == docs.columns
     assert {r.doc_id: r.text for r in kept.collect()} == {i: t for i, t in enumerate(copies) if find(i) == i}
     assert near_copies.without_near_copies(docs.limit(0)).count() == 0
+
+
+def test_rows_without_id_and_repeated_rows(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(None, one), (None, one + " more"), (7, two), (7, two), (None, two), (8, two + " more"), (9, three), (9, one + " tail end")]
+    docs = spark.createDataFrame(rows[:7], "doc_id long, text string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in near_copies.without_near_copies(docs).collect()]
+    assert len(kept) == 3 and {(7, two), (9, three)} <= set(kept)
+    assert [t for i, t in kept if i is None][0] in (one, one + " more")  # unique but for its copies, so one stays
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in near_copies.without_near_copies(docs).collect()]
+    assert sorted(kept) == sorted([(7, two), (9, three), (9, one + " tail end")])
