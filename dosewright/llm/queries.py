@@ -12,8 +12,10 @@ from dosewright.llm import (
     line_dedup,
     mixing,
     packing,
+    prefix_trie,
     quality_model,
     quality_rules,
+    ranked_search,
     simhash,
     toxicity,
 )
@@ -143,3 +145,70 @@ FROM r GROUP BY r.a
 @query("op1_embedding_dedup", EMBEDDING_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+TRIE_SQL = r"""
+WITH o AS (
+  SELECT conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id AS c, list(said ORDER BY pos) AS turns FROM o GROUP BY conv_id),
+x AS (
+  SELECT c, turns, c - c % 100 AS family, xor(4294967295::BIGINT, list_reduce(
+    flatten(list_transform(string_split(c::VARCHAR, ''), lambda d: [unicode(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN (a & 1) = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END,
+    4294967295::BIGINT)) % 6 AS h FROM s),
+g AS (
+  SELECT x.c, list_concat(CASE WHEN x.h > 0 THEN coalesce(list_slice(f.turns, 1, x.h), []) ELSE [] END,
+                          list_slice(x.turns, x.h + 1, len(x.turns))) AS turns
+  FROM x LEFT JOIN s f ON f.c = x.family),
+p AS (SELECT c, len(turns) AS whole, d, CASE WHEN d > 0 THEN list_slice(turns, 1, d) ELSE [] END AS prefix
+      FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM g)),
+n AS (
+  SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE whole = d), '')) AS ends_sha256,
+         CASE WHEN d > 0 THEN (count(*) - 1) * length(prefix[d].t) ELSE 0 END AS own
+  FROM p GROUP BY prefix, d),
+u AS (SELECT *, CASE WHEN d > 1 THEN list_slice(prefix, 1, d - 1) ELSE [] END AS above FROM n),
+k AS (SELECT u.*, (SELECT count(*) FROM u v WHERE v.d = u.d + 1 AND v.above = u.prefix) AS n_children FROM u),
+b AS (SELECT k.d, k.prefix, sum(w.own)::BIGINT AS saved_tokens, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves
+      FROM k JOIN k w ON w.d >= k.d AND (CASE WHEN k.d > 0 THEN list_slice(w.prefix, 1, k.d) ELSE [] END) = k.prefix
+      GROUP BY k.d, k.prefix)
+SELECT k.conv_id, k.d::BIGINT AS depth, f.conv_id AS parent_conv_id, k.n_convs, k.n_children, b.n_leaves, b.saved_tokens, k.ends_sha256
+FROM k JOIN b ON b.d = k.d AND b.prefix = k.prefix LEFT JOIN k f ON f.d = k.d - 1 AND f.prefix = k.above AND k.d > 0
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+SEARCH_SQL = r"""
+WITH t AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, * FROM documents)),
+d AS (SELECT row, doc_id, count(*) AS n FROM t GROUP BY row, doc_id),
+c AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+f AS (SELECT row, term, count(*) AS tf FROM t GROUP BY row, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM f, c GROUP BY term, n_docs),
+q AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT item, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS item, * FROM benchmark)) GROUP BY item, item_id, term),
+s AS (
+  SELECT item, item_id, row, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN d USING (row), c GROUP BY item, item_id, row, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+      FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
+@query("op13_ranked_search", SEARCH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
