@@ -17,6 +17,7 @@ from dosewright.llm import (
     quality_rules,
     ranked_search,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 
@@ -212,3 +213,30 @@ SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
 @query("op13_ranked_search", SEARCH_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SUFFIX_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM (SELECT *, unnest(range(n - 99)) AS p FROM d)),
+m AS (SELECT s, min({'d': doc_id, 'p': p}) AS earliest FROM w GROUP BY s HAVING count(*) > 1),
+f AS (SELECT w.doc_id, w.p, lag(w.p) OVER (PARTITION BY w.doc_id ORDER BY w.p) AS before
+      FROM w JOIN m USING (s) WHERE earliest <> {'d': doc_id, 'p': p}),
+i AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 100 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id ORDER BY p) AS run FROM f),
+g AS (SELECT doc_id, min(p) AS s, max(p) + 100 AS e FROM i GROUP BY doc_id, run),
+a AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS b, s AS e FROM g
+      UNION ALL SELECT d.doc_id, coalesce(max(g.e), 0), any_value(d.n) FROM d LEFT JOIN g ON g.doc_id = d.doc_id GROUP BY d.doc_id),
+k AS (SELECT a.doc_id, string_agg(substr(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b, e) AS kept, sum(e - b) AS n_kept
+      FROM a JOIN d USING (doc_id) GROUP BY a.doc_id)
+SELECT d.doc_id, d.n AS n_bytes, (d.n - k.n_kept)::BIGINT AS n_removed,
+       (SELECT count(*) FROM g WHERE g.doc_id = d.doc_id) AS n_spans, sha256(unhex(k.kept)) AS kept_sha256
+FROM d JOIN k USING (doc_id)
+"""
+
+
+@query("op12_suffix_dedup", SUFFIX_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
