@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosewright.operators.curate import curate
@@ -15,13 +15,15 @@ from dosewright.operators.lookups import not_in
 from dosewright.operators.sets import union_by_name
 from dosewright.session import stored
 from dosewright.sinks import partitions
-from dosewright.sources import archives, delimited, pages
+from dosewright.sources import archives, delimited, pages, quoted
 from dosewright.sources.manifest import first_months, load_manifest, require_rows
 from dosewright.spec import DERIVED_COLUMNS, RAW_COLUMNS, CurationSpec
 
 # Month of the file a record came from, as YYYYMM.
 PERIOD = "arquivo_periodo"
 FILE = "arquivo_nome"
+# Of lines, while they are counted: why they cannot be used, and whether values fit their columns.
+PROBLEM, FIT = "arquivo_problema", "arquivo_cabe_"
 #: Text of the months that are done and entered together.
 GROUP_BYTES = 64 << 30
 
@@ -66,18 +68,24 @@ def landed_files(
 
 @dataclass(frozen=True)
 class Counted:
-    """What was seen of one file while its records were written."""
+    """What was seen of one file."""
 
-    lines: int
-    bad: int
-    open_quotes: int
-    shares: dict[str, float | None]
+    lines: int = 0
+    bad: int = 0
+    open_quotes: int = 0
+    shares: dict[str, float | None] = field(default_factory=dict)
 
 
 def _name_of(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+def _periods(spark: SparkSession, files: Iterable[LandedFile]) -> DataFrame:
+    """Month of each file, to be joined: the plan does not grow with the files."""
+    rows = sorted({(_name_of(f.path), f.period) for f in files})
+    return spark.createDataFrame(rows, f"{FILE} string, {PERIOD} int")
+
+
 def scan_landed(spark: SparkSession, files: list[LandedFile]) -> list[tuple[list[LandedFile], DataFrame]]:
     """The lines of the files, one frame per distinct layout, with the month and name of their file.
 
@@ -90,64 +98,51 @@ def scan_landed(spark: SparkSession, files: list[LandedFile]) -> list[tuple[list
     frames = []
     for layout, members in groups.items():
         lines = delimited.scan(spark, [f.path for f in members], layout)
-        period_of = F.create_map(*(F.lit(v) for f in members for v in (_name_of(f.path), f.period)))
-        name = F.url_decode(F.col("_metadata.file_name"))
-        frames.append((members, lines.withColumns({FILE: name, PERIOD: F.try_element_at(period_of, name)})))
+        named = lines.withColumn(FILE, delimited.file_name(lines)).drop(quoted.FILE_NAME)
+        frames.append((members, named.join(_periods(spark, members), FILE, "left")))
     return frames
 
 
-def _observed(members: list[LandedFile], lines: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, Counted]]]:
-    """The lines, and what was counted of each file once they have been read through."""
-    seen = Observation()
-    problem = F.col(delimited.PROBLEM)
-    metrics = {"lines": F.lit(True), "bad": problem.isNotNull(), "open": problem == "open_quote"}
-    tests = {} if members[0].layout.header else delimited.alignment_tests(lines)
-    usable = problem.isNull()
-    for column, fits in tests.items():
-        metrics[f"known_{column}"] = usable & F.col(column).isNotNull()
-        metrics[f"fits_{column}"] = usable & F.col(column).isNotNull() & fits
-    observed = lines.observe(
-        seen,
-        *(
-            F.count_if((F.col(FILE) == _name_of(f.path)) & condition).alias(f"{name}_{i}")
-            for i, f in enumerate(members)
-            for name, condition in metrics.items()
-        ),
-    )
-
-    def result() -> dict[str, Counted]:
-        got = seen.get
-        return {
-            _name_of(f.path): Counted(
-                got[f"lines_{i}"],
-                got[f"bad_{i}"],
-                got[f"open_{i}"],
-                {c: got[f"fits_{c}_{i}"] / n if (n := got[f"known_{c}_{i}"]) else None for c in tests},
-            )
-            for i, f in enumerate(members)
-        }
-
-    return observed, result
-
-
 def parsed(spark: SparkSession, files: list[LandedFile], spec: CurationSpec) -> tuple[DataFrame, dict[str, Counted]]:
-    """Curated records of the files, stored, and the counts of each file; one pass over the text."""
-    frames, results = [], []
+    """Curated records of the files, and the counts of each file; one pass over the text.
+
+    What is counted is stored beside the records, in a few narrow columns of all
+    lines, and grouped by file afterwards: neither the plan nor the work a
+    line grows with the number of files.
+    """
+    keep_all = replace(spec, only_valid_documents=False)
+    frames = []
     for members, lines in scan_landed(spark, files):
-        observed, result = _observed(members, lines)
-        frames.append(full_width(curate(delimited.usable(observed), spec)))
-        results.append(result)
-    records = stored(union_by_name(*frames), "parsed")
-    return records, {name: counted for result in results for name, counted in result().items()}
+        usable = F.col(delimited.PROBLEM).isNull()
+        tests = {} if members[0].layout.header else delimited.alignment_tests(lines)
+        marks = {FIT + c: F.when(usable & F.col(c).isNotNull(), fits) for c, fits in tests.items()}
+        marked = lines.withColumns({PROBLEM: F.col(delimited.PROBLEM), **marks}).drop(delimited.PROBLEM, delimited.CORRUPT)
+        frames.append(full_width(curate(marked, keep_all)))
+    lines = stored(union_by_name(*frames), "parsed")
+    fit = [c for c in lines.columns if c.startswith(FIT)]
+    counted = lines.groupBy(FILE).agg(
+        F.count("*").alias("lines"),
+        F.count(PROBLEM).alias("bad"),
+        F.count_if(F.col(PROBLEM) == "open_quote").alias("open"),
+        *(F.avg(F.col(c).cast("double")).alias(c) for c in fit),
+    )
+    seen = {
+        r[FILE]: Counted(r["lines"], r["bad"], r["open"], {c.removeprefix(FIT): r[c] for c in fit})
+        for r in counted.collect()  # one row for each file of the manifest
+    }
+    records = lines.where(F.col(PROBLEM).isNull()).drop(PROBLEM, *fit)
+    if spec.only_valid_documents:
+        records = records.where("registro_valido_documento")
+    return records, {_name_of(f.path): seen.get(_name_of(f.path), Counted()) for f in files}
 
 
 def with_line_breaks(
     spark: SparkSession, files: list[LandedFile], records: DataFrame, counted: dict[str, Counted], spec: CurationSpec
 ) -> tuple[list[LandedFile], DataFrame, dict[str, Counted]]:
-    """Reads files with open quotes again as records that may hold line breaks.
+    """Reads files with open quotes again, as records that may go over several lines.
 
-    The second reading counts for a file only if it closes every quote; else
-    a stray quote would swallow good lines, and the reading by lines stands.
+    A quote that nothing closes costs its own line, so the second reading always
+    counts; see ``sources.quoted``.
     """
     again = [
         replace(f, layout=replace(f.layout, line_breaks=True)) for f in files if counted[_name_of(f.path)].open_quotes
@@ -155,17 +150,9 @@ def with_line_breaks(
     if not again:
         return files, records, counted
     joined, recounted = parsed(spark, again, spec)
-    better = {f: recounted[_name_of(f.path)] for f in again if not recounted[_name_of(f.path)].open_quotes}
-    if not better:
-        return files, records, counted
-    names = [_name_of(f.path) for f in better]
-    records = union_by_name(records.filter(~F.col(FILE).isin(names)), joined.filter(F.col(FILE).isin(names)))
-    by_path = {f.path: f for f in better}
-    return (
-        [by_path.get(f.path, f) for f in files],
-        records,
-        counted | {_name_of(f.path): c for f, c in better.items()},
-    )
+    rest = records.join(_periods(spark, again).select(FILE), FILE, "left_anti")
+    by_path = {f.path: f for f in again}
+    return [by_path.get(f.path, f) for f in files], union_by_name(rest, joined), counted | recounted
 
 
 def full_width(df: DataFrame) -> DataFrame:

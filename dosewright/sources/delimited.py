@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dosewright.functions.text import column_names, null_if_in
+from dosewright.sources import quoted
 from dosewright.spec import RAW_COLUMNS, READER_NULL_TOKENS, UFS_OF_REGION
 
 CORRUPT = "_corrupt_line"
@@ -21,8 +22,9 @@ FIRST_FIELD = "first_field"
 class Layout:
     """How to read a group of files.
 
-    ``line_breaks`` says that quoted fields hold line breaks. Such files cannot
-    be split, so it is set for those only that need it.
+    ``line_breaks`` says that quoted fields hold line breaks. Finding the records
+    takes more passes then (``sources.quoted``), so it is set for those files only
+    that need it.
     """
 
     columns: tuple[str, ...] = RAW_COLUMNS
@@ -71,31 +73,51 @@ def _problem(layout: Layout) -> Column:
     )
 
 
+def _options(layout: Layout) -> dict[str, str]:
+    return {
+        "sep": layout.separator,
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+    }
+
+
 def _read(reader, layout: Layout, paths) -> DataFrame:
     return (
         reader.schema(layout.schema)
+        .options(**_options(layout))
         .option("header", layout.header)
-        .option("sep", layout.separator)
         .option("encoding", layout.encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", layout.line_breaks)
         # The number of fields is only checked on lines that are read whole.
         .option("columnPruning", False)
         .csv(paths)
     )
 
 
+def _read_records(spark: SparkSession, layout: Layout, paths) -> DataFrame:
+    """The columns of ``_read`` and the file's name, of records that may go over several lines."""
+    texts = quoted.record_texts(spark, paths, layout.separator, layout.encoding, layout.header)
+    columns = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in layout.schema.fields)
+    parsed = texts.select("file", F.from_csv("record", columns, _options(layout)).alias("fields"))
+    names = [F.col(f"fields.`{f.name}`").alias(f.name) for f in layout.schema.fields]
+    return parsed.select(F.col("file").alias(quoted.FILE_NAME), *names)
+
+
+def file_name(scanned: DataFrame) -> Column:
+    """Name of the file that a line of ``scan`` comes from."""
+    return F.col(quoted.FILE_NAME) if quoted.FILE_NAME in scanned.columns else quoted.file_name()
+
+
 def scan(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
     """All lines; ``_problem`` says why a line is unusable and is null otherwise.
 
     Files are split and read in parallel: a record is one line, and a line
     whose quote stays open is reported instead of swallowing the next ones.
-    With ``line_breaks`` a record goes on to the end of its quotes.
+    With ``line_breaks`` a record goes on to the end of its quotes, for a bounded
+    number of lines; these rows also have the name of their file, see ``file_name``.
     """
-    lines = _read(spark.read, layout, paths)
+    lines = _read_records(spark, layout, paths) if layout.line_breaks else _read(spark.read, layout, paths)
     marked = lines.withColumn(PROBLEM, _problem(layout))
     return reader_nulls(marked, layout.columns)
 
@@ -106,7 +128,7 @@ def scan_stream(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
 
 
 def usable(scanned: DataFrame) -> DataFrame:
-    return scanned.filter(F.col(PROBLEM).isNull()).drop(PROBLEM, CORRUPT)
+    return scanned.filter(F.col(PROBLEM).isNull()).drop(PROBLEM, CORRUPT, quoted.FILE_NAME)
 
 
 def quarantined(scanned: DataFrame) -> DataFrame:
