@@ -15,6 +15,7 @@ a part. A length that a third of all pieces have is so spread over all parts.
 
 from __future__ import annotations
 
+import json
 import struct
 import unicodedata
 import zlib
@@ -35,10 +36,20 @@ CAPACITY = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Tokenized words in one generation of a task's memory, which is emptied at its end.
-REMEMBERED = 150_000
-
-# The split of the tokenizer's own file.
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+REMEMBERED = 300_000
+
+# Normaliser and splits of the tokenizer's own file.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_SPLITS = [
+    {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+_SPLIT = regex.compile(_PATTERN)
 #: Words of these characters are normalised alike by Python and by the tokenizer.
 _PLAIN = regex.compile(r"[\x21-\x7E\xA1-ſ]+")
 #: str.split() takes these for white space, the tokenizer does not.
@@ -85,15 +96,17 @@ class Memory(dict):
 class WordTokenizer:
     """Ids of whole texts as little-endian bytes, one cached word at a time.
 
-    The tokenizer never joins what white space parts, so a text's ids are those
-    of its words. Words of plain letters and signs go through the model alone;
-    all others, and its special tokens, through the whole tokenizer.
+    A tokenizer that splits as ``TOKENIZER`` does never joins what white space
+    parts, so a text's ids are those of its words. Words of plain letters and signs
+    go through the model alone; all others, and its special tokens, through the whole
+    tokenizer. A tokenizer of any other kind is given whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.by_words = self._splits_words(json.loads(self.whole.to_str()))
         self.words = Memory(self._word, REMEMBERED)
         self.pieces = Memory(self._piece, REMEMBERED)
         letters = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -101,7 +114,22 @@ class WordTokenizer:
         # bytes as the byte-level model spells them: printable ones as they are, others from U+0100 on
         self.spelling = {b: chr(b) for b in letters} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
+    @staticmethod
+    def _splits_words(parts: dict) -> bool:
+        normalizer, splits, model = parts["normalizer"] or {}, parts["pre_tokenizer"] or {}, parts["model"]
+        special = [t["content"] for t in parts["added_tokens"]]
+        return (
+            normalizer.get("normalizers") == _NORMALIZERS
+            and splits.get("pretokenizers") == _SPLITS
+            and model["type"] == "BPE"
+            and not parts["post_processor"]
+            and not parts["truncation"]
+            and all(t.startswith("<|") and not _SPACES.search(t) for t in special)
+        )
+
     def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():  # one piece; the words remember it
+            return self._piece(word.lower())
         if "<|" in word or not _PLAIN.fullmatch(word):
             return np.array(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if not word.isascii():
@@ -118,6 +146,8 @@ class WordTokenizer:
         self.pieces.forget()
 
     def __call__(self, text: str) -> bytes:
+        if not self.by_words:
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         words = _SPACES.split(text) if _NOT_SPACE.search(text) else text.split()
         return b"".join(map(self.words.__getitem__, words))
 

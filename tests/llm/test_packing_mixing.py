@@ -194,3 +194,14 @@ def test_mixed_documents_keep_their_columns(mixed_docs, spark):
 def test_no_python_on_the_way(mixed_docs):
     plan = mixing.mix(mixed_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_tokenizers_of_another_kind_are_given_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, own = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    assert not own.by_words and packing.word_tokenizer(None).by_words
+    for text in ("Two  words, don't\n split", "", " lead", "naïve 123 ſ ǅ <|endoftext|>"):
+        ids = np.frombuffer(own(text), dtype="<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids
