@@ -62,18 +62,16 @@ def test_stages_against_plain_versions(spark, folder):
 
     docs = stages["simhash near-dedup"](spark, docs, folder)
     assert docs.columns == columns
-    prints = {i: simhash.fingerprint(t.encode()) for i, t in texts.items()}
-    root = dict.fromkeys(prints)
-    for i in sorted(prints):  # components by repeated relabelling
-        root[i] = i
+    sets = {i: plain_shingles(t) for i, t in texts.items()}
+    root = {i: i for i in sorted(sets)}
     changed = True
-    while changed:
+    while changed:  # components by repeated relabelling
         changed = False
-        for a in prints:
-            for b in prints:
-                if root[a] < root[b] and (prints[a] ^ prints[b]).bit_count() <= 2:
-                    root[b] = root[a]
-                    changed = True
+        for a, b in combinations(root, 2):
+            low, high = sorted((root[a], root[b]))
+            if low < high and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root = {i: low if r == high else r for i, r in root.items()}
+                changed = True
     texts = {i: t for i, t in texts.items() if root[i] == i}
     assert {r.doc_id: r.text for r in docs.collect()} == texts
 
@@ -155,3 +153,18 @@ def test_rows_without_id_and_repeated_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     kept = [(r.doc_id, r.text) for r in near_copies.without_near_copies(docs).collect()]
     assert sorted(kept) == sorted([(7, two), (9, three), (9, one + " tail end")])
+
+
+def test_clashing_columns_pass_through(spark):
+    names = ["row", "drops", "n_lines", "n_dropped", "node", "first", "key", "component", "weight", "epoch", "tokens"]
+    one = " ".join(f"a{i}" for i in range(300)) + "\na line that both of them have"
+    rows = [(1, one, "en", "s", 1, *range(11)), (2, one.replace("a7 ", "b7 "), "en", "s", 1, *range(11)), (3, "a line that both of them have\n" + " ".join(f"c{i}" for i in range(40)), "en", "s", 1, *range(11))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        docs = spark.createDataFrame(docs.collect(), schema)
+        assert all(tuple(r)[5:] == tuple(range(11)) for r in docs.collect())
+    assert {r.doc_id for r in docs.collect()} == {1, 3}
+    assert corpus_pipeline.packed(spark, docs, "").count() >= 2
