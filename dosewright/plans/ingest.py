@@ -15,6 +15,7 @@ from dosewright.operators.lookups import not_in
 from dosewright.operators.sets import union_by_name
 from dosewright.session import stored
 from dosewright.sinks import partitions
+from dosewright.sinks.digests import with_digest, without_stored_copies
 from dosewright.sources import archives, delimited, pages, quoted
 from dosewright.sources.manifest import first_months, load_manifest, require_rows
 from dosewright.spec import DERIVED_COLUMNS, RAW_COLUMNS, CurationSpec
@@ -203,6 +204,7 @@ def ingest_manifest(
     spec: CurationSpec | None = None,
     check_alignment: bool = True,
     group_bytes: int = GROUP_BYTES,
+    against_stored: bool = False,
 ) -> DataFrame:
     """Curates the months of a manifest into ``data_dir/processed``.
 
@@ -210,15 +212,16 @@ def ingest_manifest(
     unless told otherwise; months written are replaced as a whole, so a
     repeated or interrupted run never doubles records. Months are done in
     groups of about ``group_bytes`` of text and entered as written group by
-    group; with ``deduplicate`` all months are one group, as copies are looked
-    for in all of them. A group is replaced only after all its files have been
-    read and checked. Lines that cannot be used go to ``data_dir/quarantine``.
+    group. A group is replaced only after all its files have been
+    read and checked. With ``deduplicate`` no month gets a record that an earlier
+    month of the run has, with ``against_stored`` none that any stored month has. Lines that cannot be used go to ``data_dir/quarantine``.
     Returns one row per month written:
     ``(year, month, original_records, records, quarantined_records)``.
     """
     spec = spec or CurationSpec()
     raw, processed = f"{data_dir}/raw", f"{data_dir}/processed"
     partitions.require_no_stream(processed)
+    partitions.require_no_runs(processed)
     manifest = load_manifest(spark, manifest_path, months)
     manifest = require_rows(first_months(manifest, max_months))
     if skip_existing_months and not clear_selected_months:
@@ -228,12 +231,11 @@ def ingest_manifest(
 
     files = landed_files(spark, manifest, f"{raw}/zip", f"{raw}/csv", encoding)
     sizes = archives.text_sizes([f.path for f in files])
-    groups = [files] if deduplicate else month_groups(files, sizes, group_bytes)
-    done = [
-        row
-        for group in groups
-        for row in ingest_files(spark, group, data_dir, deduplicate, spec, check_alignment)
-    ]
+    groups = month_groups(files, sizes, group_bytes)
+    done: list[tuple[int, int, int, int, int]] = []
+    for group in groups:
+        against = None if against_stored else [year * 100 + month for year, month, *_ in done]
+        done += ingest_files(spark, group, data_dir, deduplicate, spec, check_alignment, against)
     return spark.createDataFrame(done, partitions.COUNT_SCHEMA)
 
 
@@ -244,9 +246,12 @@ def ingest_files(
     deduplicate: bool = False,
     spec: CurationSpec | None = None,
     check_alignment: bool = True,
+    against: Sequence[int] | None = (),
 ) -> list[tuple[int, int, int, int, int]]:
     """Reads, checks, replaces and enters the months of ``files``; their counts as ``COUNT_SCHEMA``.
 
+    With ``deduplicate`` copies are also looked for in the stored months ``against``
+    (YYYYMM), in all others if that is None.
     The text is read once. Only files with lines that cannot be used are read
     again, for their quarantine.
     """
@@ -258,13 +263,9 @@ def ingest_files(
         for file in files:
             delimited.require_aligned(counted[_name_of(file.path)].shares, file.path)
     records = records.drop(FILE)
-    if deduplicate:
-        # Of equal records in several months the earliest month keeps its copy.
-        records = stored(
-            drop_exact_duplicates(records, (*spec.sensitive_columns, PERIOD), (PERIOD,)), "distinct"
-        )
-
     periods = sorted({f.period for f in files})
+    if deduplicate:
+        records = _distinct(spark, records, processed, periods, spec, against)
     partitions.mark_open(spark, processed, periods)
     partitions.write_by_period(records, processed, PERIOD, keep_sensitive=spec.keep_sensitive)
     write_quarantine(spark, [f for f in files if counted[_name_of(f.path)].bad], f"{data_dir}/quarantine")
@@ -283,6 +284,38 @@ def ingest_files(
     return rows
 
 
+def _distinct(
+    spark: SparkSession,
+    records: DataFrame,
+    processed: str,
+    periods: list[int],
+    spec: CurationSpec,
+    against: Sequence[int] | None,
+) -> DataFrame:
+    """Records without copies of each other or of records in other stored months, with their digests.
+
+    Of equal records given, the earliest month keeps its copy; what is stored stays. Stored months
+    are read in their digests only, unless digests meet.
+    """
+    apart = (*spec.sensitive_columns, PERIOD)
+    compared = [c for c in records.columns if c not in apart]
+    records = drop_exact_duplicates(records, apart, (PERIOD,))
+    records = stored(with_digest(records, compared), "distinct")
+    held = partitions.stored_digests(spark, processed, compared, periods, against)
+    if held is None:
+        return records
+
+    def values(months: DataFrame) -> DataFrame:
+        found = partitions.committed_rows(spark, processed, months.collect())  # a row a month
+        return with_digest(found, [c for c in found.columns if c not in (*apart, *partitions.PARTITION)])
+
+    before = partitions.stored_schema(spark, processed)
+    more = [f for f in (before.fields if before else ()) if f.name not in (*records.columns, *apart, *partitions.PARTITION)]
+    padded = records.withColumns({f.name: F.lit(None).cast(f.dataType) for f in more}) if more else records
+    left = without_stored_copies(padded, held, values, [*compared, *(f.name for f in more)])
+    return records if left is padded else stored(left.select(*records.columns), "distinct")
+
+
 def write_quarantine(spark: SparkSession, files: list[LandedFile], root: str) -> None:
     """Writes the unusable lines of the files that have any, by month."""
     if not files:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dosewright.session import stored
+from dosewright.sinks import additions
+from dosewright.sinks.digests import DIGEST, with_digest
 from dosewright.spec import SENSITIVE_COLUMNS
 
 PARTITION = ("year", "month")
@@ -70,19 +73,6 @@ def write_by_period(df: DataFrame, root: str, period: str, **kwargs) -> None:
     write_partitions(df.withColumns(keys_of_period(F.col(period))).drop(period), root, **kwargs)
 
 
-def _stored_rows(spark: SparkSession, path: str, partitioned: bool) -> DataFrame | None:
-    """What is stored below ``path``, partition columns as text; None if nothing is."""
-    try:
-        found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    if not partitioned:
-        return found
-    return found.withColumns(partition_keys(F.col("year"), F.col("month")))
-
-
 def write_by_event_date(
     df: DataFrame,
     root: str,
@@ -90,19 +80,21 @@ def write_by_event_date(
     distinct: bool = True,
     rebalance: bool = True,
     keep_sensitive: bool = False,
+    run: str | None = None,
 ) -> dict[str, int]:
     """Adds rows to the month of their date; rows without one go to the folder ``undated``.
 
-    What is stored stays: rows of the months touched are united with the new
-    ones and written again, so no run shrinks a month. With ``distinct`` rows
-    equal to stored ones are not added again, and a repeated run changes
-    nothing; without it every run adds all its rows. Without calendar columns
-    all rows are undated. ``df`` is evaluated once. Returns the rows given per
-    kind.
+    What is stored stays, and is not read or written again: each run adds files of
+    its own, see ``sinks.additions``. With ``distinct`` rows equal to stored ones are not
+    added again, and a repeated run changes nothing; without it every run adds
+    all its rows, unless it has the name ``run`` of an earlier one. Without calendar
+    columns all rows are undated. ``df`` is evaluated once. Returns the rows given
+    per kind.
     """
     if not keep_sensitive:
         require_no_sensitive(df)
     spark = df.sparkSession
+    require_no_commits(root)
     if {"ano_vacinacao", "mes_vacinacao"} <= set(df.columns):
         dated = F.col("ano_vacinacao").isNotNull() & F.col("mes_vacinacao").isNotNull()
         keys = partition_keys(F.col("ano_vacinacao"), F.col("mes_vacinacao"))
@@ -110,30 +102,15 @@ def write_by_event_date(
     else:
         keyed = df.withColumns({k: F.lit(None).cast("string") for k in PARTITION})
     given = stored(keyed, "event-date")
-    counts = {(r.year, r.month): r["count"] for r in given.groupBy(*PARTITION).count().collect()}
-    months = [m for m in counts if m[0] is not None]
-
-    for path, chosen, partitioned in (
-        (undated, F.col("year").isNull(), False),
-        (root, F.concat("year", "month").isin([y + m for y, m in months]), True),
+    without = F.col("year").isNull()
+    total, rest = given.agg(F.count("*"), F.count_if(without)).first()
+    for path, n, rows in (
+        (root, total - rest, given.filter(~without)),
+        (undated, rest, given.filter(without).drop(*PARTITION)),
     ):
-        new = given.filter(chosen)
-        if not (months if partitioned else (None, None) in counts):
-            continue
-        if not partitioned:
-            new = new.drop(*PARTITION)
-        old = _stored_rows(spark, path, partitioned)
-        if old is not None:
-            new = new.unionByName(old.filter(chosen) if partitioned else old, allowMissingColumns=True)
-            if distinct:
-                new = new.distinct()
-            new = stored(new, "event-date")  # a folder is not written while it is read
-        if partitioned:
-            write_partitions(new, path, rebalance, keep_sensitive)
-        else:
-            new.write.mode("overwrite").parquet(path)
-    total = sum(counts.values())
-    rest = counts.get((None, None), 0)
+        if n:
+            additions.add(rows, path, distinct, rebalance, run)
+            additions.unite(spark, path)
     return {"dated": total - rest, "undated": rest}
 
 
@@ -172,9 +149,47 @@ def stored_schema(spark: SparkSession, root: str) -> T.StructType | None:
     for r in sorted((r.columns for r in known), key=lambda c: (-len(c), c)):
         for field in T.StructType.fromJson(json.loads(r)).fields:
             fields.setdefault(field.name, field)
+    fields.pop(DIGEST, None)
     return T.StructType(list(fields.values()))
 
 
+def stored_digests(
+    spark: SparkSession, root: str, compared: Sequence[str], without: Sequence[int] = (), only: Sequence[int] | None = None
+) -> DataFrame | None:
+    """(digest, year, month) of all committed months, or ``only`` some, but those given; None where there are none.
+
+    Months (YYYYMM) stored with digests are read in that column only, others in the columns compared.
+    """
+    months = [r for r in committed_counts(spark, root).collect() if r.year * 100 + r.month not in without and r.records]
+    months = [r for r in months if only is None or r.year * 100 + r.month in only]
+    narrow = [r for r in months if r.columns and DIGEST in T.StructType.fromJson(json.loads(r.columns)).fieldNames()]
+    held = None
+    for chosen, digests in ((narrow, True), ([r for r in months if r not in narrow], False)):
+        if not chosen:
+            continue
+        if digests:
+            part = _months_of(spark.read.schema(f"{DIGEST} binary, year string, month string").parquet(root), chosen)
+        else:
+            part = committed_rows(spark, root, chosen)
+            part = with_digest(part, [c for c in compared if c in part.columns])
+        part = part.select(DIGEST, F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
+        held = part if held is None else held.unionByName(part)
+    return held
+
+
+def _months_of(df: DataFrame, months) -> DataFrame:
+    """Rows of the months, picked by partition."""
+    names = [f"{m['year']}-{m['month']:02d}" for m in months]
+    return df.where(F.concat(F.col("year").cast("int"), F.lit("-"), F.lpad(F.col("month").cast("int").cast("string"), 2, "0")).isin(names))
+
+
+def committed_rows(spark: SparkSession, root: str, months) -> DataFrame:
+    """Stored records of some months (rows with ``year`` and ``month``)."""
+    from dosewright.sources.curated import load_curated
+
+    return _months_of(load_curated(spark, root), months)
+
+
 def _log(months: DataFrame, state: str, root: str, columns: str | None = None) -> None:
     def count(name):
         known = F.col(name) if name in months.columns else F.lit(None)
@@ -232,17 +247,33 @@ def require_no_stream(root: str) -> None:
         raise ValueError(f"{root} belongs to a streaming job")
 
 
-def require_no_batches(root: str) -> None:
-    """An error where batch runs have entered months: they would be replaced, or hidden by a stream's log."""
+def _has_log(root: str, log: str) -> bool:
     from pyarrow import fs
 
     from dosewright.sources.archives import locate
 
     store, inner = locate(root)
-    if store.get_file_info(f"{inner}/{COMMITS}").type != fs.FileType.NotFound:
+    return store.get_file_info(f"{inner}/{log}").type != fs.FileType.NotFound
+
+
+def require_no_batches(root: str) -> None:
+    """An error where batch runs have entered months: they would be replaced, or hidden by a stream's log."""
+    if _has_log(root, COMMITS) or _has_log(root, additions.LOG):
         raise ValueError(f"{root} belongs to batch runs")
 
 
+def require_no_commits(root: str) -> None:
+    """An error where months are replaced as a whole: sets of single runs would not fit in."""
+    if _has_log(root, COMMITS):
+        raise ValueError(f"{root} belongs to runs that replace whole months")
+
+
+def require_no_runs(root: str) -> None:
+    """An error where runs add to months: replacing a month would leave their entries behind."""
+    if _has_log(root, additions.LOG):
+        raise ValueError(f"{root} belongs to runs that add to months")
+
+
 def period_counts(df: DataFrame, period: str) -> dict[int, int]:
     """Rows per month given as YYYYMM."""
     return {r[0]: r[1] for r in df.groupBy(period).count().collect()}

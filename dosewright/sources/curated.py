@@ -7,23 +7,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Conditions of a folder that is not there, or has no files.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def load_curated(spark: SparkSession, root: str, merge_schema: bool | None = None) -> DataFrame:
     """Partitioned records, united by column name; an error when there are none.
 
     The columns are those entered with the commit records. Where there are no
     such entries, or with ``merge_schema``, all files are looked into for
-    theirs; without it one file speaks for all.
+    theirs; without it one file speaks for all. Where runs add to months, the
+    sets entered are read.
     """
+    from dosewright.sinks import additions
+    from dosewright.sinks.digests import DIGEST
     from dosewright.sinks.partitions import stored_schema
 
+    added = additions.rows(spark, root)
+    if added is not None:
+        return added
     known = stored_schema(spark, root) if merge_schema is None else None
     reader = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet")
     try:
         if known is not None:
             return reader.schema(known).parquet(root)
-        return reader.option("mergeSchema", merge_schema is not False).parquet(root)
+        return reader.option("mergeSchema", merge_schema is not False).parquet(root).drop(DIGEST)
     except AnalysisException as problem:
+        if problem.getCondition() not in ABSENT:
+            raise
         raise FileNotFoundError(f"no curated records below {root}") from problem
 
 
@@ -41,7 +52,9 @@ def load_summary(
         return spark.read.schema(wanted).option("header", True).option("escape", '"').csv(
             f"{folder}/{name}.csv"
         )
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() not in ABSENT:
+            raise
         return spark.createDataFrame([], wanted)
 
 

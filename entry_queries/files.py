@@ -9,7 +9,7 @@ from dosewright.operators.rollups import group_count
 from dosewright.plans import ingest
 from dosewright.plans.marts import build_mart
 from dosewright.session import scratch_path
-from dosewright.sinks import documents, partitions, tables
+from dosewright.sinks import additions, documents, partitions, tables
 from dosewright.sources import archives, curated as stored_records, delimited, manifest, pages, places
 from entry_queries import oracle
 from entry_queries.binding import curated, geography, table
@@ -282,6 +282,26 @@ def line_breaks(spark, sf_dir):
     )
 
 
+@query(
+    "AGG_20_against_stored",
+    """SELECT month, count(*) AS records FROM (
+  SELECT l_returnflag, l_partkey, CAST(min(l_linenumber % 3 + 1) AS BIGINT) AS month FROM lineitem GROUP BY ALL) GROUP BY month""",
+)
+def against_stored(spark, sf_dir):
+    """Three months ingested one after the other; a record of a later month that an earlier one has is dropped."""
+    root = scratch_path(spark, "deduplicated")
+    period = (F.col("l_linenumber") % 3 + 202501).cast("int")
+    fields = (F.col("l_partkey").cast("string"), F.col("l_returnflag"))
+    lines = table(spark, sf_dir, "lineitem").select(period.alias("period"), F.concat_ws(";", *fields).alias("value"))
+    layout = delimited.Layout(("codigo_documento", "sexo_paciente"), ";", False)
+    periods = (202501, 202502, 202503)
+    files = _text_files(lines, scratch_path(spark, "landed"), periods, dict.fromkeys(periods, layout))
+    for month in (1, 2, 3):
+        ingest.ingest_files(spark, [f for f in files if f.month == month], root, deduplicate=True, against=None)
+    stored = stored_records.load_curated(spark, f"{root}/processed")
+    return stored.groupBy(F.col("month").cast("bigint").alias("month")).agg(F.count("*").alias("records"))
+
+
 @query(
     "SRC_13_of_runs",
     """SELECT l_orderkey % 2 + 1 AS month, CASE WHEN l_orderkey % 2 = 1 THEN upper(l_linestatus) END AS extra,
@@ -555,27 +575,48 @@ def _ddl(df) -> str:
     ),
 )
 def event_month(spark, sf_dir):
-    """Partitions by the date of the record, from three runs; undated records are kept apart.
+    """Partitions by the date of the record, from three runs, the third repeated; undated records are kept apart.
 
     The second run has undated records only, the third brings further records
-    of months that are stored.
+    of months that are stored. Its repetition has its name and adds nothing.
     """
     root, undated = scratch_path(spark, "by-date"), scratch_path(spark, "undated")
     records = curated(spark, sf_dir, *_STORED, "l_linenumber")
     line, dated = F.col("l_linenumber"), F.col("ano_vacinacao").isNotNull()
-    for part in (line <= 3, (line > 3) & ~dated, (line > 3) & dated):
-        partitions.write_by_event_date(records.filter(part), root, undated, distinct=False)
-    dated = spark.read.schema(f"{_ddl(records)}, year string, month string").parquet(root)
-    counts = dated.groupBy(F.col("year").alias("y"), F.col("month").alias("m")).agg(
+    further = (line > 3) & dated
+    for name, part in (("one", line <= 3), ("two", (line > 3) & ~dated), ("three", further), ("three", further)):
+        partitions.write_by_event_date(records.filter(part), root, undated, distinct=False, run=name)
+    counts = stored_records.load_curated(spark, root).groupBy(F.col("year").alias("y"), F.col("month").alias("m")).agg(
         F.count("*").alias("records")
     )
-    rest = spark.read.parquet(undated).agg(
+    rest = additions.rows(spark, undated).agg(
         F.lit("undated").alias("y"), F.lit(None).cast("string").alias("m"),
         F.count("*").alias("records"),
     )
     return counts.unionByName(rest)
 
 
+@query(
+    "SNK_02_distinct_runs",
+    """WITH e AS (SELECT CAST(year(ts) AS VARCHAR) AS year, lpad(CAST(day(ts) AS VARCHAR), 2, '0') AS month,
+  user_id, event_type FROM events)
+SELECT DISTINCT year, month, user_id, event_type FROM e""",
+)
+def distinct_runs(spark, sf_dir):
+    """Runs that bring records stored by earlier runs, found by digest and value, and sets of a month united."""
+    root, undated = scratch_path(spark, "by-date"), scratch_path(spark, "undated")
+    records = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type",
+        F.year("ts").alias("ano_vacinacao"), F.day("ts").alias("mes_vacinacao"),
+    )
+    for remainder in range(3):
+        part = records.filter(F.col("event_id") % 3 == remainder).drop("event_id")
+        partitions.write_by_event_date(part, root, undated)
+        if remainder == 1:
+            additions.unite(spark, root, most_runs=1)
+    return stored_records.load_curated(spark, root).select("year", "month", "user_id", "event_type")
+
+
 @query(
     "SNK_03_resume",
     """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year,
