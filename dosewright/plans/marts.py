@@ -110,11 +110,11 @@ CUBES: dict[str, tuple[str, ...]] = {
 _N = "n_registros"
 
 
-def cube(curated: DataFrame, name: str) -> DataFrame:
-    """Counts of the records at the keys of one cube."""
+def cube(curated: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Counts of the records at the keys of one cube, ``by`` further keys."""
     quality = any(m.quality for m in MARTS.values() if m.cube == name)
     measures = flag_counts() if quality else []
-    return curated.groupBy(*CUBES[name]).agg(F.count("*").alias(_N), *measures)
+    return curated.groupBy(*by, *CUBES[name]).agg(F.count("*").alias(_N), *measures)
 
 
 def stored_cubes(curated: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:

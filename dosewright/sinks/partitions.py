@@ -134,6 +134,12 @@ def committed_counts(spark: SparkSession, root: str) -> DataFrame:
     return last.select("year", "month", "e.*").filter(F.col("state") == WRITTEN).drop("state")
 
 
+def committed_at(spark: SparkSession, root: str) -> DataFrame:
+    """(year, month, at): when each month that is written was entered last."""
+    last = _log_entries(spark, root).groupBy("year", "month").agg(F.max_by("state", "at").alias("state"), F.max("at").alias("at"))
+    return last.filter(F.col("state") == WRITTEN).drop("state")
+
+
 def committed_months(spark: SparkSession, root: str) -> DataFrame:
     """Months whose last entry says they are written."""
     return committed_counts(spark, root).select("year", "month")

@@ -657,27 +657,6 @@ def replace_months(spark, sf_dir):
     )
 
 
-@query(
-    "SNK_05_stored_tables",
-    oracle.over_curated(
-        "SELECT 'age_group_summary' AS name, faixa_etaria AS key, count(*) AS doses_aplicadas "
-        "FROM curated GROUP BY 2 UNION ALL "
-        "SELECT 'sex_summary', sexo_paciente, count(*) FROM curated GROUP BY 2"
-    ),
-)
-def stored_tables(spark, sf_dir):
-    made = {
-        "age_group_summary": build_mart(curated(spark, sf_dir, "faixa_etaria"), "age_group_summary"),
-        "sex_summary": build_mart(curated(spark, sf_dir, "sexo_paciente"), "sex_summary"),
-    }
-    stored = tables.save_all(made, scratch_path(spark, "tables"), scratch_path(spark, "csv"))
-    shaped = [
-        df.select(F.lit(name).alias("name"), F.col(df.columns[0]).alias("key"), "doses_aplicadas")
-        for name, df in stored.items()
-    ]
-    return shaped[0].unionByName(shaped[1])
-
-
 @query(
     "SNK_07_views",
     oracle.over_geo(

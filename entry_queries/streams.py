@@ -19,17 +19,17 @@ def _arriving(spark, sf_dir, name):
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def _arriving_in_order(spark, sf_dir, name, time, parts=3):
-    """The rows of a table as ``parts`` files, by time, each a batch of its own."""
-    rows = table(spark, sf_dir, name)
+def _arriving_in_order(rows, name, time, parts=3):
+    """Rows as ``parts`` batches by time, of some files each; rows without a time come with the first."""
+    spark, files = rows.sparkSession, 4
     folder = scratch_path(spark, f"arriving-{name}")
     seconds = F.unix_timestamp(F.col(time).cast("timestamp"))
     first, last = rows.agg(F.min(seconds), F.max(seconds)).first()
-    step = (last - first) // parts + 1
-    part = F.floor((seconds - F.lit(first)) / step)
+    step = ((last or 0) - (first or 0)) // parts + 1
+    part = F.coalesce(F.floor((seconds - F.lit(first or 0)) / step), F.lit(0))
     for number in range(parts):  # one after the other: files are taken in the order of their times
-        rows.filter(part == number).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        rows.filter(part == number).repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _as_records(events):
@@ -85,17 +85,19 @@ def incremental_ingest(spark, sf_dir):
 
 @query(
     "STR_02_dedup_within_bound",
-    "SELECT DISTINCT event_id, user_id, event_type, value FROM events",
+    "SELECT DISTINCT event_id, user_id, event_type, value FROM events UNION ALL "
+    "SELECT DISTINCT event_id, user_id, event_type, value FROM events WHERE user_id % 7 = 0",
 )
 def dedup_within_bound(spark, sf_dir):
-    """Each event arrives a second time an hour later and is dropped then.
+    """Each event arrives a second time six hours later and is dropped then, be it in another batch.
 
-    Three batches; the bound is far shorter than the time they span, so the
-    state of early events is let go.
+    The bound is far shorter than the time the batches span, so the state of early events
+    is let go. Events of some users also come without a time, and stay.
     """
-    events = _arriving_in_order(spark, sf_dir, "events", "ts").select("event_id", "user_id", "event_type", "value", "ts")
-    later = events.withColumn("ts", F.col("ts") + F.expr("interval 1 hour"))
-    both = events.unionByName(later)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    later = events.withColumn("ts", F.col("ts") + F.expr("interval 6 hours"))
+    untimed = events.filter("user_id % 7 = 0").withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    both = _arriving_in_order(events.unionByName(later).unionByName(untimed), "events", "ts", parts=5)
     kept = incremental.drop_duplicates_within(both, "ts", "1 day").drop("ts")
     root = scratch_path(spark, "stream-dedup")
     query_ = (
@@ -115,7 +117,7 @@ def dedup_within_bound(spark, sf_dir):
 )
 def running_counts(spark, sf_dir):
     """Three batches; the state of the last one holds everything."""
-    lines = _arriving_in_order(spark, sf_dir, "lineitem", "l_shipdate")
+    lines = _arriving_in_order(table(spark, sf_dir, "lineitem"), "lineitem", "l_shipdate")
     counts = incremental.running_counts(lines, ["l_returnflag", "l_linestatus"])
     root = scratch_path(spark, "running")
     incremental.write_running(counts, root, scratch_path(spark, "checkpoint")).awaitTermination()
@@ -142,7 +144,7 @@ def batch_metrics(spark, sf_dir):
 
     root = scratch_path(spark, "batch-metrics")
     incremental.write_batch_metrics(
-        _arriving_in_order(spark, sf_dir, "orders", "o_orderdate"), root, scratch_path(spark, "checkpoint"), metrics
+        _arriving_in_order(table(spark, sf_dir, "orders"), "orders", "o_orderdate"), root, scratch_path(spark, "checkpoint"), metrics
     ).awaitTermination()
     return accumulate(spark.read.option("basePath", root).parquet(root))
 
@@ -152,12 +154,12 @@ def batch_metrics(spark, sf_dir):
     "SELECT event_type, count(*) AS total_registros FROM events GROUP BY event_type",
 )
 def running_totals(spark, sf_dir):
-    """Update mode: each of three batches puts the groups it changed over the state before."""
+    """Update mode: each of five batches writes the groups it changed; a state is put together after every second."""
     counts = incremental.running_counts(
-        _arriving_in_order(spark, sf_dir, "events", "ts"), ["event_type"], rollups.RECORDS
+        _arriving_in_order(table(spark, sf_dir, "events"), "events", "ts", parts=5), ["event_type"], rollups.RECORDS
     )
     root = scratch_path(spark, "updated")
     incremental.write_running(
-        counts, root, scratch_path(spark, "checkpoint"), mode="update", keys=["event_type"]
+        counts, root, scratch_path(spark, "checkpoint"), mode="update", keys=["event_type"], state_every=2
     ).awaitTermination()
     return incremental.latest(spark, root)

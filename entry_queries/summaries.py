@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from dosewright.operators import rollups
 from dosewright.operators.dedup import drop_exact_duplicates, duplicate_counts
 from dosewright.operators.rollups import COUNT_OF_FLAG
+from dosewright.plans import monthly
 from dosewright.plans.marts import MARTS, build_mart, build_marts, legacy_marts
+from dosewright.session import scratch_path, stored
+from dosewright.sinks import partitions, tables
 from dosewright.spec import QUALITY_FLAGS
 from entry_queries import oracle
 from entry_queries.binding import curated, doses, geography, table
@@ -73,11 +76,8 @@ def _mart_rows_sql() -> str:
     return oracle.over_geo("\nUNION ALL\n".join(parts))
 
 
-@query("MART_all_from_cubes", _mart_rows_sql())
-def marts_from_cubes(spark, sf_dir):
-    """All rows and values of the fifteen summaries by way of the cubes."""
-    records = curated(spark, sf_dir, *all_marts_columns())
-    made = build_marts(records, geography(spark, sf_dir))
+def _mart_rows(made):
+    """All rows and values of summaries, in one shape."""
 
     def shaped(name, df):
         mart = MARTS[name]
@@ -96,6 +96,64 @@ def marts_from_cubes(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), (shaped(n, df) for n, df in made.items()))
 
 
+@query("MART_all_from_cubes", _mart_rows_sql())
+def marts_from_cubes(spark, sf_dir):
+    """All rows and values of the fifteen summaries by way of the cubes."""
+    records = curated(spark, sf_dir, *all_marts_columns())
+    return _mart_rows(build_marts(records, geography(spark, sf_dir)))
+
+
+@query("SNK_05_stored_tables", _mart_rows_sql())
+def stored_tables(spark, sf_dir):
+    """All fifteen summaries stored as tables and CSV, read back."""
+    records = curated(spark, sf_dir, *all_marts_columns())
+    made = build_marts(records, geography(spark, sf_dir))
+    return _mart_rows(tables.save_all(made, scratch_path(spark, "tables"), scratch_path(spark, "csv")))
+
+
+def _stored_months(spark, sf_dir, root):
+    """Curated records in four stored months, entered; the last not as it will be."""
+    period = (F.col("l_orderkey") % 4 + 202501).cast("int")
+    columns = list(dict.fromkeys(["l_orderkey", *all_marts_columns()]))
+    records = stored(curated(spark, sf_dir, *columns).withColumn("arquivo_periodo", period).drop("l_orderkey"), "records")
+
+    def enter(rows):
+        partitions.write_by_period(rows, root, "arquivo_periodo")
+        counts = rows.groupBy("arquivo_periodo").count().collect()
+        entries = [(r[0] // 100, r[0] % 100, r[1]) for r in counts]
+        partitions.commit_months(spark.createDataFrame(entries, "year int, month int, records bigint"), root)
+
+    last = F.col("arquivo_periodo") == 202504
+    enter(records.filter(~last | (F.col("sexo_paciente") == "A")))
+    return lambda: enter(records.filter(last))
+
+
+@query("SNK_05_by_month", _mart_rows_sql())
+def summaries_by_month(spark, sf_dir):
+    """The fifteen summaries from cubes of each month; one month is stored again and only its cubes are made again."""
+    root, folder = scratch_path(spark, "months"), scratch_path(spark, "month-cubes")
+    finish = _stored_months(spark, sf_dir, root)
+    monthly.refresh(spark, root, folder)
+    finish()
+    return _mart_rows(monthly.monthly_marts(spark, root, folder, geography(spark, sf_dir)))
+
+
+@query(
+    "AGG_27_distinct_over_months",
+    oracle.over_curated(
+        "SELECT ano_vacinacao, count(DISTINCT sg_vacina) AS vaccines, count(DISTINCT codigo_vacina) AS codes "
+        "FROM curated GROUP BY ano_vacinacao"
+    ),
+)
+def distinct_over_months(spark, sf_dir):
+    """Distinct vaccines of a year from the cubes of stored months, whatever months they are in."""
+    root, folder = scratch_path(spark, "months"), scratch_path(spark, "month-cubes")
+    _stored_months(spark, sf_dir, root)()
+    monthly.refresh(spark, root, folder)
+    figures = {"sg_vacina": "vaccines", "codigo_vacina": "codes"}
+    return monthly.distinct_figures(monthly.cubes(spark, folder), figures, by=["ano_vacinacao"])
+
+
 @query(
     "MART_cube_municipality_vaccine",
     oracle.over_geo(

@@ -1,5 +1,6 @@
 """Curation and duplicate removal as wholes, against brute force."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -184,9 +185,24 @@ def test_stream_over_several_batches(spark, tmp_path):
     for mode, keys in (("complete", ()), ("update", ("k",))):
         root = str(tmp_path / mode)
         counts = incremental.running_counts(stream, ["k"], "n")
-        incremental.write_running(counts, root, f"{root}-checkpoint", mode).awaitTermination()
-        assert len(list((tmp_path / mode).glob("batch=*"))) >= 3
-        assert sorted(map(tuple, incremental.latest(spark, root, keys).collect())) == wanted
+        incremental.write_running(counts, root, f"{root}-checkpoint", mode, keys, state_every=2).awaitTermination()
+        batches = sorted(p.name for p in (tmp_path / mode).glob("batch=*"))
+        assert batches[-1] == "batch=000000002"
+        assert sorted(map(tuple, incremental.latest(spark, root).collect())) == wanted
+        if mode == "complete":
+            assert len(batches) == 2  # the whole state, and the one before
+            continue
+        assert [p.name for p in (tmp_path / mode).glob("state=*")] == ["state=000000001"]
+        assert [tuple(r) for r in spark.read.parquet(f"{root}/{batches[-1]}").collect()] == [("c", 2)]  # what it changed
+        # a batch that runs again: its entry in the log is lost, its files are written once more
+        (tmp_path / f"{mode}-checkpoint/commits/2").unlink()
+        (tmp_path / f"{mode}-checkpoint/commits/.2.crc").unlink(missing_ok=True)
+        incremental.write_running(
+            incremental.running_counts(stream, ["k"], "n"), root, f"{root}-checkpoint", mode, keys, state_every=2
+        ).awaitTermination()
+        assert sorted(map(tuple, incremental.latest(spark, root).collect())) == wanted
+    with pytest.raises(ValueError, match="keys"):
+        incremental.write_running(counts, root, f"{root}-checkpoint", "update")
     root = str(tmp_path / "metrics")
     incremental.write_batch_metrics(
         stream, root, f"{root}-checkpoint", lambda batch: long_form(batch.agg(F.count("*").alias("n")))
