@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dosewright.functions.text import column_names, null_if_in
-from dosewright.sources import quoted
+from dosewright.sources import quoted, zipped
 from dosewright.spec import RAW_COLUMNS, READER_NULL_TOKENS, UFS_OF_REGION
 
 CORRUPT = "_corrupt_line"
@@ -97,7 +97,10 @@ def _read(reader, layout: Layout, paths) -> DataFrame:
 
 def _read_records(spark: SparkSession, layout: Layout, paths) -> DataFrame:
     """The columns of ``_read`` and the file's name, of records that may go over several lines."""
-    texts = quoted.record_texts(spark, paths, layout.separator, layout.encoding, layout.header)
+    return _parsed(quoted.record_texts(spark, paths, layout.separator, layout.encoding, layout.header), layout)
+
+
+def _parsed(texts: DataFrame, layout: Layout) -> DataFrame:
     columns = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in layout.schema.fields)
     parsed = texts.select("file", F.from_csv("record", columns, _options(layout)).alias("fields"))
     names = [F.col(f"fields.`{f.name}`").alias(f.name) for f in layout.schema.fields]
@@ -122,6 +125,16 @@ def scan(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFra
     return reader_nulls(marked, layout.columns)
 
 
+def scan_zipped(spark: SparkSession, zip_paths: list[str], layout: Layout, **options) -> DataFrame:
+    """The rows of ``scan`` over text files that stay in their archives; see ``sources.zipped``.
+
+    Records are lines. Where quotes hold line breaks, unpack the archive and
+    scan its file.
+    """
+    lines = _parsed(zipped.record_texts(spark, zip_paths, layout.encoding, layout.header, **options), layout)
+    return reader_nulls(lines.withColumn(PROBLEM, _problem(layout)), layout.columns)
+
+
 def scan_stream(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
     lines = _read(spark.readStream, layout, folder)
     return reader_nulls(lines.withColumn(PROBLEM, _problem(layout)), layout.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from dosewright.functions import keys
@@ -256,6 +257,99 @@ def ingest_text(spark, sf_dir):
     )
 
 
+def _zip_archives(lines, folder):
+    """Lines (``period``, ``value``) as one archive for each period, written on the executors."""
+
+    def run(batches):
+        import zipfile
+
+        from dosewright.sources.archives import locate
+
+        store, inner = locate(folder)
+        store.create_dir(inner, recursive=True)
+        now, closing = None, []
+        for batch in batches:
+            for period, values in batch.groupby("period", sort=True)["value"]:
+                if period != now:
+                    while closing:
+                        closing.pop().close()
+                    sink = store.open_output_stream(f"{inner}/{period}.zip")
+                    archive = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED)
+                    closing = [sink, archive, archive.open(f"{period}.csv", "w", force_zip64=True)]
+                    now = period
+                    yield pd.DataFrame({"period": [period], "path": [f"{folder}/{period}.zip"]})
+                closing[-1].write("".join(v + "\n" for v in values).encode("latin1"))
+        while closing:
+            closing.pop().close()
+
+    order = ["period", *(["at"] if "at" in lines.columns else [])]
+    laid_out = lines.repartition("period").sortWithinPartitions(*order).select("period", "value")
+    return {r.period: r.path for r in laid_out.mapInPandas(run, "period int, path string").collect()}
+
+
+_ZIPPED = """z AS (SELECT l_orderkey % 3 + 1 AS month, l_linenumber = 7 AS bad, l_orderkey, l_returnflag, l_shipdate,
+  l_linenumber = 1 AS short FROM lineitem)"""
+
+
+def _zipped_lines(spark, sf_dir):
+    """Dose records as text of three months: ids, sex, date; some lines short, some with a field too many."""
+    line = F.col("l_linenumber")
+    whole = [F.col("l_orderkey").cast("string"), F.col("l_returnflag"), F.date_format("l_shipdate", "yyyy-MM-dd")]
+    value = (
+        F.when(line == 7, F.concat_ws(";", *whole, F.lit("more")))
+        .when(line == 1, F.concat_ws(";", *whole[:2]))
+        .otherwise(F.concat_ws(";", *whole))
+    )
+    period = (F.col("l_orderkey") % 3 + 202501).cast("int")
+    return table(spark, sf_dir, "lineitem").select(period.alias("period"), value.alias("value"))
+
+
+@query(
+    "SRC_04_zip_source",
+    f"""WITH {_ZIPPED} SELECT '20250' || month || '.csv' AS file, CASE WHEN bad THEN 'extra_fields' END AS problem,
+  count(*) AS lines, count(CASE WHEN NOT bad AND NOT short THEN l_shipdate END) AS dates,
+  CAST(sum(l_orderkey) AS BIGINT) AS ids FROM z GROUP BY 1, 2""",
+)
+def zip_source(spark, sf_dir):
+    """Lines read straight out of ZIP archives, in small blocks."""
+    paths = _zip_archives(_zipped_lines(spark, sf_dir), scratch_path(spark, "zips"))
+    layout = delimited.Layout(("codigo_documento", "sexo_paciente", "data_vacina"), ";", False)
+    lines = delimited.scan_zipped(spark, sorted(paths.values()), layout, block=1 << 16)
+    problem = F.col(delimited.PROBLEM)
+    dates = F.when(problem.isNull(), F.col("data_vacina"))
+    return lines.groupBy(delimited.file_name(lines).alias("file"), problem.alias("problem")).agg(
+        F.count("*").alias("lines"), F.count(dates).alias("dates"),
+        F.sum(F.col("codigo_documento").cast("bigint")).alias("ids"),
+    )
+
+
+@query(
+    "API_ingest_manifest",
+    f"""WITH {_ZIPPED} SELECT month, count(*) AS original_records, count(*) FILTER (WHERE NOT bad) AS records,
+  count(*) FILTER (WHERE bad) AS quarantined_records,
+  count(l_shipdate) FILTER (WHERE NOT bad AND NOT short) AS stored_dates FROM z WHERE month < 3 GROUP BY month""",
+)
+def ingest_whole_manifest(spark, sf_dir):
+    """A manifest of three months and their ZIP archives; two months are chosen, in two runs."""
+    root = scratch_path(spark, "manifest")
+    names = F.lit("codigo_documento;sexo_paciente;data_vacina")
+    lines = _zipped_lines(spark, sf_dir)
+    first = lines.select("period").distinct().withColumn("value", names).withColumn("at", F.lit(0))
+    ordered = first.unionByName(lines.withColumn("at", F.lit(1)))
+    _zip_archives(ordered, f"{root}/raw/zip")
+    rows = [(2025, m, "", f"Month {m}", "CSV", f"https://example.org/20250{m}.zip", "") for m in (1, 2, 3)]
+    columns = ["year", "month", "month_name", "resource_name", "format", "url", "source_page"]
+    manifest_path = f"{root}/manifest"
+    spark.createDataFrame(rows, columns).coalesce(1).write.option("header", True).csv(manifest_path)
+    runs = [ingest.ingest_manifest(spark, manifest_path, root, months=[1, 2], max_months=n) for n in (1, 2)]
+    stored = stored_records.load_curated(spark, f"{root}/processed")
+    dates = stored.groupBy(F.col("month").cast("int").alias("month")).agg(F.count("data_vacina").alias("stored_dates"))
+    return (
+        runs[0].unionByName(runs[1]).join(dates, "month")
+        .select(F.col("month").cast("bigint").alias("month"), "original_records", "records", "quarantined_records", "stored_dates")
+    )
+
+
 @query(
     "SRC_10_line_breaks",
     """SELECT CAST(l_orderkey AS VARCHAR) AS codigo_documento, l_returnflag AS sexo_paciente,
