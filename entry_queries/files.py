@@ -471,6 +471,36 @@ def page_files(spark, sf_dir):
     return pages.records_table(pages.explode_pages(spark.read.parquet(path)))
 
 
+@query(
+    "SRC_12_saved_files",
+    "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(year(ts) AS INTEGER) AS year, "
+    "event_id // 1000 AS page FROM events",
+)
+def saved_pages(spark, sf_dir):
+    """Events saved as one file for each page and year, read as pages of chosen years."""
+    folder = scratch_path(spark, "saved")
+    record = F.to_json(F.struct("event_id", "event_type"))
+    whole = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.year("ts").alias("year"), F.floor(F.col("event_id") / 1000).alias("page"))
+        .agg(F.concat_ws(",\n", F.collect_list(record)).alias("records"))
+        .select("year", "page", F.concat(F.lit('{"total": 1, "data": ['), "records", F.lit("]}")).alias("payload"))
+    )
+
+    def save(batches):
+        store, inner = archives.locate(folder)
+        for batch in batches:
+            for year, page, payload in batch.itertuples(index=False):
+                store.create_dir(f"{inner}/year={year}", recursive=True)
+                with store.open_output_stream(f"{inner}/year={year}/page={page:06d}.json") as sink:
+                    sink.write(payload.encode())
+            yield batch[["year"]]
+
+    years = sorted({r.year for r in whole.mapInPandas(save, "year int").distinct().collect()})
+    found = pages.explode_pages(pages.load_pages(spark, folder, years))
+    return pages.records_table(found, ["event_id", "event_type"]).select("event_id", "event_type", "year", "page")
+
+
 # --- municipality dimension -------------------------------------------------
 
 
