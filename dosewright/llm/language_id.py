@@ -3,6 +3,7 @@
 Every language gets a zstandard dictionary of raw content: texts of a bounded
 sample of its training rows. A text is compressed once with each dictionary; the
 one under which it becomes smallest shares most with it and names the language.
+Where that is by a small margin, a thorough compressor decides instead, for texts of any size.
 Margins are relative to the runner-up; a narrow one rejects the decision
 (``rejected``), though the nearest language is still named.
 """
@@ -24,8 +25,8 @@ SAMPLE_CHARS = 4000
 DICTIONARY_BYTES = 100_000
 #: Below this relative margin a decision is rejected.
 NARROW = 0.01
-#: Texts below this size are compressed harder, as each byte counts.
-SHORT = 600
+#: Below this margin the fast compressors leave the decision to the thorough ones.
+CLOSE = 0.05
 UNKNOWN = "und"
 
 _SCHEMA = pa.schema(
@@ -87,9 +88,11 @@ class Compressors:
         data = letters(text)
         if not self.names or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True, 0.0
-        sizes = [len(c.compress(data)) for c in (self.thorough if len(data) < SHORT else self.fast)]
-        if len(data) >= SHORT and sorted(sizes)[:2] == [min(sizes)] * 2:
-            sizes = [len(c.compress(data)) for c in self.thorough]
+        sizes = [len(c.compress(data)) for c in self.fast]
+        if len(sizes) > 1:
+            least, next_least = sorted(sizes)[:2]
+            if next_least - least < CLOSE * next_least:
+                sizes = [len(c.compress(data)) for c in self.thorough]
         order = sorted(range(len(sizes)), key=lambda i: (sizes[i], self.names[i]))
         if len(order) == 1:
             return self.names[0], 1.0, False, 1.0

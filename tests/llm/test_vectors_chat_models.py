@@ -169,7 +169,49 @@ def test_long_conversations_are_rendered_whole():
     assert [prefixes.add(*t, False)[3] for t in turns] == [i == 30 for i in range(40)]
     prefixes = chat.Prefixes(chat.template)  # declared as append-only: goes on from the last turns
     assert "".join(prefixes.add(*t, True)[0] for t in turns) == chat.template(turns)
-    assert len(prefixes.turns) < 20
+    assert len(prefixes.turns) == chat.CONTEXT
+
+
+@pytest.mark.parametrize("words", [1, 200, 2000])
+def test_the_way_of_a_declared_template_does_not_depend_on_sizes(words):
+    turns = [("user", f"turn {i} " + "long " * words) for i in range(70)]
+    prefixes = chat.Prefixes(chat.append_only(lambda t: chat.template(t)))
+    pieces = [prefixes.add(*t, True) for t in turns]
+    assert "".join(p[0] for p in pieces) == chat.template(turns) and not any(p[3] for p in pieces)
+    assert all(chat.unescape(p[0][p[1] : p[2]]) == t for p, (_, t) in zip(pieces, turns))
+    # a declaration that does not hold is found at a doubling number of turns
+    for wrong, seen in ((numbered, 4), (trimmed, 31)):
+        prefixes = chat.Prefixes(chat.append_only(lambda t, wrong=wrong: wrong(t)))
+        flags = [prefixes.add(*t, False)[3] for t in turns]
+        assert not any(flags[:seen]) and any(flags[seen:])
+
+
+def test_probes_that_the_template_or_the_role_contain():
+    probing = lambda turns: "".join(f"probe other {r}:{t}/probe;" for r, t in turns)
+    prefixes = chat.Prefixes(probing)
+    for role, text in (("probe", "other"), ("x", ""), ("other", "probe"), ("y", "e")):
+        added, start, end, _ = prefixes.add(role, text, True)
+        assert added[start:end] == text
+
+
+def test_languages_near_and_beyond_the_old_size_limit():
+    draw = random.Random(4)
+    words = {"a": ["kalo", "mira", "sento", "vapu"], "b": ["grund", "hakt", "mirz", "vorn"]}
+    text = lambda lang, n: " ".join(draw.choices(words[lang], k=n))
+    raw = {lang: text(lang, 400).encode() for lang in words}
+    held = language_id.Compressors(raw)
+    for lang in words:
+        for n in (5, 90, 95, 100, 105, 110, 2000):
+            name, score, rejected, margin = held.decide(text(lang, n))
+            assert name == lang and (score > 0.5) == (not rejected) == (margin > language_id.NARROW)
+    # plain recompression: the smallest of all, by the compressors that the margin asks for
+    for n in (3, 40, 300):
+        mixed = text("a", n) + " " + text("b", n)
+        data = language_id.letters(mixed)
+        sizes = [len(c.compress(data)) for c in held.fast]
+        if abs(sizes[0] - sizes[1]) < language_id.CLOSE * max(sizes):
+            sizes = [len(c.compress(data)) for c in held.thorough]
+        assert held.decide(mixed)[0] == ("a" if sizes[0] <= sizes[1] else "b")
 
 
 # --- classifiers -------------------------------------------------------------
