@@ -111,14 +111,19 @@ def _write(df: DataFrame, root: str, run: str, rebalance: bool) -> None:
 
 
 def add(
-    df: DataFrame, root: str, distinct: bool = True, rebalance: bool = True, run: str | None = None
+    df: DataFrame,
+    root: str,
+    distinct: bool = True,
+    rebalance: bool = True,
+    run: str | None = None,
+    is_stored: bool = False,
 ) -> dict[tuple[str | None, str | None], int]:
     """Adds rows to the months of their ``year`` and ``month``, or to one set without these columns.
 
     With ``distinct`` equal rows are added once, and rows that their month has already
     are not added: digests of the months touched are compared, see ``sinks.digests``. A
-    ``run`` that is entered already adds nothing, so it can be repeated. ``df`` is evaluated once.
-    Returns the rows added by month.
+    ``run`` that is entered already adds nothing, so it can be repeated. ``df`` is evaluated once,
+    unless it ``is_stored`` and cheap to read again. Returns the rows added by month.
     """
     spark = df.sparkSession
     run = run or uuid.uuid4().hex
@@ -126,7 +131,10 @@ def add(
         return {}
     keys = [k for k in _MONTH if k in df.columns]
     columns = [c for c in df.columns if c not in keys]
-    fresh = stored(with_digest(df.distinct(), columns) if distinct else df, "added")
+    if distinct:
+        fresh = stored(with_digest(df.distinct(), columns), "added")
+    else:
+        fresh = df if is_stored else stored(df, "added")
 
     def counts(frame):
         if not keys:

@@ -109,7 +109,7 @@ def write_by_event_date(
         (undated, rest, given.filter(without).drop(*PARTITION)),
     ):
         if n:
-            additions.add(rows, path, distinct, rebalance, run)
+            additions.add(rows, path, distinct, rebalance, run, is_stored=True)
             additions.unite(spark, path)
     return {"dated": total - rest, "undated": rest}
 

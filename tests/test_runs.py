@@ -224,3 +224,16 @@ def test_the_job_in_a_process_of_its_own(tmp_path):
     assert done.returncode == 0, done.stderr[-3000:]
     (part,) = (tmp_path / "docs/source_metadata.json").glob("part-*.json")
     assert json.loads(part.read_text())["months"] == [1]
+
+
+def test_plans_do_not_grow_with_files(spark, tmp_path):
+    def plan(n):
+        files = [landed(tmp_path, f"{n}-{i}.csv", [GOOD, GOOD + ";more"], i % 12 + 1) for i in range(n)]
+        ((_, lines),) = ingest.scan_landed(spark, files)
+        text = lines._jdf.queryExecution().optimizedPlan().toString()
+        return files, len([x for x in text.splitlines() if "LocalRelation" not in x]), len(text)
+
+    (_, few, short), (files, many, long) = plan(2), plan(60)
+    assert few == many and long < 2 * short
+    _, counted = ingest.parsed(spark, files, ingest.CurationSpec())
+    assert len(counted) == 60 and all((c.lines, c.bad, c.open_quotes) == (2, 1, 0) for c in counted.values())
