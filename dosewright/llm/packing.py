@@ -36,7 +36,7 @@ CAPACITY = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Tokenized words in one generation of a task's memory, which is emptied at its end.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 # Normaliser and splits of the tokenizer's own file.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
