@@ -162,14 +162,16 @@ def word_tokenizer(path: str | None) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
     """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32, ids`` (little-endian 32-bit).
 
+    Without ``with_ids`` the ids themselves do not leave the Python worker.
     A document is its ids and the end id; only documents longer than ``capacity``
     are cut, the last piece may be shorter. A null text counts as empty and is
     the end id alone. Repeated rows are documents of their own.
     """
     end = np.array([END], dtype="<u4").tobytes()
+    schema = _PIECE if with_ids else _PIECE.remove(_PIECE.get_field_index("ids"))
 
     def run(batches):
         encode = word_tokenizer(path)
@@ -181,11 +183,11 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
                     part = ids[start : start + 4 * capacity]
                     rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part), part))
             if rows:
-                yield record_batch(_PIECE, *zip(*rows))
+                yield record_batch(schema, *zip(*rows))
         encode.forget()  # the Python worker goes on to other tasks
 
     return short_batches(docs).select("doc_id", "text").mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+        run, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     )
 
 
@@ -342,4 +344,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def packed_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of ``docs`` with their place, without the ids themselves."""
-    return pack(tokenized(docs, path, capacity).drop("ids"), capacity)
+    return pack(tokenized(docs, path, capacity, with_ids=False), capacity)
