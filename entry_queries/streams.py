@@ -8,7 +8,7 @@ from dosewright.operators import rollups
 from dosewright.plans.reports import accumulate, long_form, missing_cells
 from dosewright.session import scratch_path
 from dosewright.sources.curated import load_curated
-from dosewright.streaming import incremental
+from dosewright.streaming import bounded, incremental
 from entry_queries.binding import table
 from entry_queries.registry import query
 
@@ -19,14 +19,19 @@ def _arriving(spark, sf_dir, name):
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def _arriving_in_order(rows, name, time, parts=3):
-    """Rows as ``parts`` batches by time, of some files each; rows without a time come with the first."""
+def _arriving_in_order(rows, name, time, parts=3, late=None):
+    """Rows as ``parts`` batches by time, of some files each; rows without a time come with the first.
+
+    Those for which ``late`` holds come with the last, whatever their time.
+    """
     spark, files = rows.sparkSession, 4
     folder = scratch_path(spark, f"arriving-{name}")
     seconds = F.unix_timestamp(F.col(time).cast("timestamp"))
     first, last = rows.agg(F.min(seconds), F.max(seconds)).first()
     step = ((last or 0) - (first or 0)) // parts + 1
     part = F.coalesce(F.floor((seconds - F.lit(first or 0)) / step), F.lit(0))
+    if late is not None:
+        part = F.when(late, parts - 1).otherwise(part)
     for number in range(parts):  # one after the other: files are taken in the order of their times
         rows.filter(part == number).repartition(files).write.mode("append").parquet(folder)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
@@ -111,6 +116,28 @@ def dedup_within_bound(spark, sf_dir):
     return spark.read.parquet(root)
 
 
+@query(
+    "STR_02_late_rows",
+    """WITH seen AS (SELECT DISTINCT user_id, event_type, ts FROM events),
+  spaced AS (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts) AS before FROM seen)
+SELECT user_id, event_type, ts FROM spaced WHERE before IS NULL OR ts - before > INTERVAL 2 DAY
+UNION ALL SELECT user_id, event_type, NULL FROM events WHERE user_id % 7 = 0""",
+)
+def late_rows(spark, sf_dir):
+    """An event of a kind goes if its user had one within two days before; all of some users come late.
+
+    Events come in five batches by time, those of each tenth user in the last one, long after
+    a watermark has passed them. Some events also come without a time, and stay.
+    """
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    untimed = events.filter("user_id % 7 = 0").withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    late = (F.col("user_id") % 10 == 3) & F.col("ts").isNotNull()
+    arriving = _arriving_in_order(events.unionByName(untimed), "events", "ts", parts=5, late=late)
+    root = scratch_path(spark, "stream-late")
+    bounded.write_without_copies(arriving, root, scratch_path(spark, "checkpoint"), "ts", "2 days").awaitTermination()
+    return bounded.kept_rows(spark, root)
+
+
 @query(
     "STR_03_running_counts",
     "SELECT l_returnflag, l_linestatus, count(*) AS doses_aplicadas FROM lineitem GROUP BY ALL",
