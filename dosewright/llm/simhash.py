@@ -2,15 +2,19 @@
 
 A fingerprint has eight bytes. Two bits that differ touch at most two of them,
 so fingerprints within two bits share at least six positional bytes: six is the
-guaranteed minimum of matches. Tallying pairs over postings of single bytes would
-pair a 256th of the corpus with itself, so the index is entered by all 28
-choices of six positions: a pair meets in an entry exactly if its tally reaches
-six. Members of an entry differ in the other two bytes only, so an entry has at
-most 65,536 different fingerprints, however many documents there are. Retained
-pairs are verified by counting differing bits.
+guaranteed minimum of matches. Postings of single bytes would pair a 256th of the
+corpus with itself, so a posting holds four positional bytes: of four groups of two
+positions, two at least are untouched, so a pair meets in one of the six choices of two
+groups. There the shared positional bytes of each pair are tallied, pairs that
+reach six are retained, and those are verified by counting differing bits.
+
+Postings with many fingerprints are handed on to an index by all 28 choices of six
+positions, where a pair meets exactly if its tally reaches six. Members of such an entry
+differ in the other two bytes only, so it has at most 65,536 different fingerprints,
+however many documents there are.
 
 Documents of equal fingerprint are one node (their smallest ``doc_id``), so
-groups of copies cost one index row, not one a copy. Inside an entry only a
+groups of copies cost six index rows, not six a copy. Inside an entry only a
 spanning forest of the verified links is written, never all pairs.
 """
 
@@ -34,12 +38,15 @@ SEED = 42
 MAX_BITS = 2
 BYTES = 8
 MATCHES = BYTES - MAX_BITS
-#: From this many fingerprints on, an entry is linked by masked values instead of in pairs.
+#: With more fingerprints than this, a posting is handed on, and an entry of six positions is linked by
+#: masked values instead of in pairs.
 PAIRWISE = 512
 
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _PRINT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: A link (a, b), or a fingerprint handed on with its node.
+_TALLIED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("handed", pa.bool_())])
 
 
 def shingle_hashes(text: bytes, shingle_words: int) -> list[int]:
@@ -76,26 +83,101 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
     return map_documents(docs, ["doc_id", "text"], run, "doc_id long, fp long")
 
 
-_CHOICES = [np.array(c) for c in combinations(range(BYTES), MATCHES)]
-
-
-def _index(batches):
-    """(key, fp, node) for each choice of six positions; the key holds the choice and the six bytes."""
-    for batch in batches:
-        node, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        octets = np.ascontiguousarray(fp).view(np.uint8).reshape(-1, BYTES).astype(np.int64)
-        for number, chosen in enumerate(_CHOICES):
-            key = np.full(len(fp), number, dtype=np.int64)
-            for position in chosen:
-                key = key << 8 | octets[:, position]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp), pa.array(node)], names=["key", "fp", "node"])
-
-
-def _links_of_entry(fp: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forest of the verified links among the different fingerprints of one entry."""
+#: Positions of a posting: two of four groups of two.
+_POSTINGS = [(2 * i, 2 * i + 1, 2 * j, 2 * j + 1) for i, j in combinations(range(BYTES // 2), 2)]
+_CHOICES = list(combinations(range(BYTES), MATCHES))
+
+
+def octets_of(fp: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(fp).view(np.uint8).reshape(-1, BYTES)
+
+
+def _index(choices):
+    """(key, fp, node) for each choice of positions; the key holds the choice and its bytes."""
+
+    def run(batches):
+        for batch in batches:
+            node, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            octets = octets_of(fp).astype(np.int64)
+            for number, chosen in enumerate(choices):
+                key = np.full(len(fp), number, dtype=np.int64)
+                for position in chosen:
+                    key = key << 8 | octets[:, position]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp), pa.array(node)], names=["key", "fp", "node"])
+
+    return run
+
+
+def _retained(fp: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs share six positional bytes, by a tally, and differ in two bits or fewer."""
+    octets, values = octets_of(fp), fp.view(np.uint64)
+    kept = np.flatnonzero((octets[left] == octets[right]).sum(axis=1) >= MATCHES)
+    return kept[np.bitwise_count(values[left[kept]] ^ values[right[kept]]) <= MAX_BITS]
+
+
+def _tallied(pairwise: int):
+    """Forests of the links of sorted postings; fingerprints of postings beyond ``pairwise`` are handed on."""
+
+    def linked(key, fp, node):
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        sizes = np.diff(edges)
+        a, b = [node[:0]], [node[:0]]
+        for n in np.unique(sizes):  # postings of a size at once, a million pairs at most
+            one, other = np.triu_indices(n, 1)
+            starts = edges[:-1][sizes == n]
+            for some in np.array_split(starts, 1 + len(starts) * len(one) // 1_000_000):
+                left, right = ((some[:, None] + side).ravel() for side in (one, other))
+                near = _retained(fp, left, right)
+                a.append(node[left[near]])
+                b.append(node[right[near]])
+        child, root = forest(np.concatenate(a), np.concatenate(b))
+        if len(child):
+            yield record_batch(_TALLIED, root, child, np.zeros(len(child), dtype=bool))
+
+    def handed(fp, node):
+        if len(fp):
+            yield record_batch(_TALLIED, fp, node, np.ones(len(fp), dtype=bool))
+
+    def run(batches):
+        carried, large = [np.zeros(0, dtype=np.int64)] * 3, None
+        for batch in batches:
+            part = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if large is not None:
+                rest = int(np.searchsorted(part[0], large, side="right"))
+                yield from handed(part[1][:rest], part[2][:rest])
+                part = [x[rest:] for x in part]
+            if not len(part[0]):
+                continue
+            large = None
+            part = [np.concatenate(x) for x in zip(carried, part)]
+            cut = int(np.searchsorted(part[0], part[0][-1]))  # the last posting may go on
+            carried = [x[cut:] for x in part]
+            whole = [x[:cut] for x in part]
+            yield from settled(*whole)
+            if len(carried[0]) > pairwise:
+                large = carried[0][0]
+                yield from handed(carried[1], carried[2])
+                carried = [x[:0] for x in carried]
+        yield from settled(*carried)
+
+    def settled(key, fp, node):
+        if not len(key):
+            return
+        _, inverse, sizes = np.unique(key, return_inverse=True, return_counts=True)
+        many = sizes[inverse] > pairwise
+        yield from handed(fp[many], node[many])
+        few = ~many & (sizes[inverse] > 1)
+        if few.any():
+            yield from linked(key[few], fp[few], node[few])
+
+    return run
+
+
+def _links_of_entry(fp: np.ndarray, node: np.ndarray, pairwise: int = PAIRWISE) -> tuple[np.ndarray, np.ndarray]:
+    """Forest of the verified links among the different fingerprints of one entry of six positions."""
     n = len(fp)
     values = fp.view(np.uint64)
-    if n <= PAIRWISE:
+    if n <= pairwise:
         left, right = np.triu_indices(n, 1)
         near = np.bitwise_count(values[left] ^ values[right]) <= MAX_BITS
         left, right = left[near], right[near]
@@ -118,55 +200,52 @@ def _links_of_entry(fp: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.nd
     return forest(node[left], node[right])
 
 
-def _contracted_links(batches):
-    """A forest of the links of each batch; in one function, so that a task needs one Python worker."""
-    return contract_batches(_links(batches))
+def _links(pairwise: int):
+    """Links of sorted rows of six positions; an entry that goes on in the next batch is carried over."""
+
+    def run(batches):
+        carried = None
+        for batch in batches:
+            part = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if carried is not None:
+                part = [np.concatenate(x) for x in zip(carried, part)]
+            if not len(part[0]):
+                continue
+            cut = int(np.searchsorted(part[0], part[0][-1]))  # the last entry may go on
+            carried = [x[cut:] for x in part]
+            yield from of_run(*(x[:cut] for x in part))
+        if carried is not None:
+            yield from of_run(*carried)
+
+    def of_run(key, fp, node):
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, dtype=np.int64)
+        a, b = [node[:0]], [node[:0]]
+        for at, end in zip(edges[:-1], edges[1:]):
+            if end - at > 1:
+                moved, root = _links_of_entry(np.ascontiguousarray(fp[at:end]), node[at:end], pairwise)
+                a.append(root)
+                b.append(moved)
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a):
+            yield record_batch(_LINK, a, b)
 
+    # Contracted in the same function, so that a task needs one Python worker.
+    return lambda batches: contract_batches(run(batches))
 
-def _links(batches):
-    """Links of sorted index rows; an entry that goes on in the next batch is carried over."""
-    carried = None
-    for batch in batches:
-        part = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-        if carried is not None:
-            part = [np.concatenate(x) for x in zip(carried, part)]
-        if not len(part[0]):
-            continue
-        cut = int(np.searchsorted(part[0], part[0][-1]))  # the last entry may go on
-        carried = [x[cut:] for x in part]
-        yield from _links_of_run(*(x[:cut] for x in part))
-    if carried is not None:
-        yield from _links_of_run(*carried)
-
-
-def _links_of_run(key, fp, node):
-    if len(key) < 2:
-        return
-    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-    sizes = np.diff(edges)
-    found_a, found_b = [], []
-    two = edges[:-1][sizes == 2]
-    near = np.bitwise_count(fp[two].view(np.uint64) ^ fp[two + 1].view(np.uint64)) <= MAX_BITS
-    found_a.append(node[two[near]])
-    found_b.append(node[two[near] + 1])
-    for at, size in zip(edges[:-1][sizes > 2], sizes[sizes > 2]):
-        a, b = _links_of_entry(np.ascontiguousarray(fp[at : at + size]), node[at : at + size])
-        found_a.append(a)
-        found_b.append(b)
-    a, b = np.concatenate(found_a), np.concatenate(found_b)
-    if len(a):
-        yield record_batch(_LINK, a, b)
-
-
-def links(nodes: DataFrame) -> DataFrame:
+
+def _entered(nodes: DataFrame, choices) -> DataFrame:
+    index = nodes.select("node", "fp").mapInArrow(_index(choices), "key long, fp long, node long")
+    return index.repartition("key").sortWithinPartitions("key")
+
+
+def links(nodes: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
     """Links (a, b) that connect all of ``nodes`` (node, fp), of different fp, within two bits."""
-    return (
-        nodes.select("node", "fp")
-        .mapInArrow(_index, "key long, fp long, node long")
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_contracted_links, "a long, b long")
-    )
+    made = stored(_entered(nodes, _POSTINGS).mapInArrow(_tallied(pairwise), "a long, b long, handed boolean"), "tallied")
+    found = made.where("not handed").select("a", "b")
+    again = made.where("handed").select(F.col("a").alias("fp"), F.col("b").alias("node")).distinct()
+    if again.isEmpty():
+        return found
+    return found.unionByName(_entered(again, _CHOICES).mapInArrow(_links(pairwise), "a long, b long"))
 
 
 def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:

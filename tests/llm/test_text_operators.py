@@ -187,10 +187,9 @@ def test_simhash_against_plain_version(docs):
 
 
 @pytest.mark.parametrize("pairwise", [512, 2])
-def test_links_of_random_fingerprints(spark, monkeypatch, pairwise):
+def test_links_of_random_fingerprints(spark, pairwise):
     import random
 
-    monkeypatch.setattr(simhash, "PAIRWISE", pairwise)
     draw = random.Random(5)
     values = {}
     for i in range(40):
@@ -204,10 +203,42 @@ def test_links_of_random_fingerprints(spark, monkeypatch, pairwise):
         first.setdefault(v, i)
     nodes = {i: v for v, i in first.items()}
     frame = spark.createDataFrame([(i, v - (1 << 64) if v >> 63 else v) for i, v in nodes.items()], "node long, fp long")
-    found = {r.node: r.component for r in simhash.components(simhash.links(frame)).collect()}
+    found = {r.node: r.component for r in simhash.components(simhash.links(frame, pairwise)).collect()}
     assert {i: found.get(i, i) for i in nodes} == plain_components(nodes)
 
 
+def test_links_of_one_crowded_posting(spark):
+    """Fingerprints that share four bytes, more than are compared in pairs, over several Arrow batches."""
+    import random
+
+    draw = random.Random(11)
+    values = sorted({0x1234567800000000 | draw.getrandbits(14) << 3 * draw.randrange(6) for _ in range(3000)})
+    nodes = dict(enumerate(values))
+    masks = {}
+    root = list(nodes)
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, v in nodes.items():  # all values within two bits, looked up
+        for x, y in combinations(range(32), 2):
+            for near in (v ^ (1 << x), v ^ (1 << x) ^ (1 << y)):
+                if (j := masks.get(near)) is not None:
+                    a, b = sorted((find(i), find(j)))
+                    root[b] = a
+        masks[v] = i
+        if (j := masks.get(v ^ (1 << 31))) is not None:
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    frame = spark.createDataFrame(list(nodes.items()), "node long, fp long")
+    for pairwise in (simhash.PAIRWISE, 4096):
+        found = {r.node: r.component for r in simhash.components(simhash.links(frame, pairwise), contracted=True).collect()}
+        assert {i: found.get(i, i) for i in nodes} == {i: find(i) for i in nodes}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert quality_rules.quality_rules(none).count() == 0
