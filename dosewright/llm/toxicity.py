@@ -9,6 +9,12 @@ end or elsewhere, have a single reading and are taken as they stand, as are
 tokens without a letter. Tokens of more than 64 characters are decoded in pieces
 cut at signs. Decoded words are remembered.
 
+Blanks are symbols of the channel as well: in stretches of short fragments with two
+single characters in a row (``y o u i d i o t``, ``m o ron``, ``i  d  i  o  t``), a blank or
+sign is read as nothing or as the end of a word, as the model finds likelier. Long stretches
+are decoded in windows that overlap by half. Words cut in two without a single character
+(``id iot``) are left as they stand: to tell them, all short words would have to be decoded.
+
 Scoring: words and word beginnings of restored text, learnt from a bounded sample
 of labelled rows. Candidates occur in toxic rows almost only. Those that would
 not be so by chance, given how many were looked at, are kept; of the others, a
@@ -52,6 +58,8 @@ LOOK_ALIKE = {
 #: Signs put between letters, or in place of one.
 FILLERS = ".-_*'~·•"
 SUBSTITUTED, FILLED, SHORTENED, DROPPED, WILD = 1.5, 0.5, 0.5, 5.0, 2.0
+#: A single blank or sign between fragments that ends a word.
+ENDED = 0.5
 
 _EDGE = ".,;:?\"'()[]{}<>#*%&|!~-_"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -63,6 +71,14 @@ _LONG_RUN = re.compile(r"(.)\1{3,}")
 _AROUND = ".,;:?\"'()[]{}<>"
 #: Characters decoded at once; longer stretches go in pieces that overlap by half.
 PIECE = 64
+#: Fragments of a spelt-out stretch, what stands between them, and two single characters in a row.
+_FRAGMENT, _BETWEEN = r"[\w@$!|+]{1,3}", r"[ .\-_*]{1,3}"
+_TWO_SINGLES = re.compile(rf"(?<!\S)[\w@$!|+]{_BETWEEN}[\w@$!|+](?![^\s.,;:?!\-_*])")
+_ONWARD = re.compile(rf"(?:{_BETWEEN}{_FRAGMENT}(?![^\s.,;:?!\-_*]))*")
+_BEFORE = re.compile(rf"(?<!\S){_FRAGMENT}{_BETWEEN}$")
+_BLANKS = re.compile(r"([ .\-_*]{1,3})")
+#: Fragments decoded at once; longer stretches go in windows that overlap by half.
+WINDOW = 48
 #: Four or more single characters, one sign or blank between each.
 _SPACED = re.compile(r"(?<!\S)(?:[\w@$!|+][ .\-_*]){3,}[\w@$!|+](?![^\s.,;:?!])")
 
@@ -179,9 +195,13 @@ class Restorer:
 
     def decode(self, word: str) -> str:
         """The cheapest reading; letters only."""
+        return self.cheapest(self.lattice(word))
+
+    def cheapest(self, lattice: list[list[tuple[str, float]]]) -> str:
+        """The cheapest path by costs of the channel and of the model, by Viterbi's recursion."""
         model = self.model
         beams: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for readings in self.lattice(word):
+        for readings in lattice:
             following: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (cost, read) in beams.items():
                 for letters, price in readings:
@@ -210,8 +230,34 @@ class Restorer:
         return tuple(decoded)
 
     def spaced(self, text: str) -> list[str]:
-        """Restored words of spelt-out stretches (``i d i o t``) of a lower-cased text."""
-        return [self.decode(re.sub(r"[ .\-_*]", "", m)) for m in _SPACED.findall(text)]
+        """Restored words of spelt-out stretches (``i d i o t``) of a lower-cased text, word ends found and not."""
+        out: dict[str, None] = {}
+        for stretch in spelt_stretches(text):
+            out.update(dict.fromkeys(self.decode(re.sub(r"[ .\-_*]", "", m)) for m in _SPACED.findall(stretch)))
+            written = _BLANKS.split(stretch)  # fragments, and what stands between, in turn
+            for at in range(0, max(1, len(written) - WINDOW), WINDOW):
+                lattice: list[list[tuple[str, float]]] = []
+                for number, part in enumerate(written[at : at + 2 * WINDOW - 1]):
+                    if number % 2:
+                        lattice.append([("", FILLED * len(part)), (" ", ENDED if len(part) == 1 else 0.0)])
+                    else:
+                        lattice += self.lattice(part)
+                out.update(dict.fromkeys(self.cheapest(lattice).split()))
+        return list(out)
+
+
+def spelt_stretches(text: str):
+    """Stretches of fragments of one to three characters around two single ones in a row."""
+    done = 0
+    while found := _TWO_SINGLES.search(text, done):
+        begin, end = found.start(), _ONWARD.match(text, found.end()).end()
+        for _ in range(2):  # a word may begin with fragments of more than one letter
+            before = _BEFORE.search(text, max(done, begin - 6), begin)
+            if before is None:
+                break
+            begin = before.start()
+        yield text[begin:end]
+        done = end
 
 
 def features_of(word: str) -> tuple[str, ...]:
