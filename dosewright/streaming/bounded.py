@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dosewright.session import stored
 from dosewright.spec import SENSITIVE_COLUMNS
 
 _SIGHTING = "_digest binary, _slice bigint, _first bigint, _last bigint"
@@ -101,14 +100,14 @@ def write_without_copies(
             F.unhex(F.sha2(values.cast("binary"), 256)).alias("_digest"),
         )
         timed = told.where("_time is not null").withColumn("_slice", F.floor(F.col("_time") / width))
-        firsts = stored(
-            timed.groupBy("_digest", "_slice").agg(
-                F.min("_time").alias("_first"),
-                F.max("_time").alias("_last"),
-                F.min_by(F.struct(*(F.col(f"`{c}`") for c in columns)), "_time").alias("_row"),
-            ),
-            "slices",
+        firsts = timed.groupBy("_digest", "_slice").agg(
+            F.min("_time").alias("_first"),
+            F.max("_time").alias("_last"),
+            F.min_by(F.struct(*(F.col(f"`{c}`") for c in columns)), "_time").alias("_row"),
         )
+        work = f"{root}/work/batch={number:09d}"
+        firsts.write.mode("overwrite").parquet(work)
+        firsts = spark.read.schema(firsts.schema).parquet(work)
         low, high = firsts.agg(F.min("_slice"), F.max("_slice")).first()
         kept = told.where("_time is null").select(*(F.col(f"`{c}`") for c in columns))
         before = [s for s in _seen(spark, root) if s[0] < number]
@@ -135,10 +134,9 @@ def write_without_copies(
         kept.write.mode("overwrite").parquet(f"{root}/rows/batch={number:09d}")
         newest = max([s[2] for s in before] + ([high] if high is not None else []), default=0)
         hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for _, _, last, path in before:
-            if last < newest - remembered:
-                folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-                folder.getFileSystem(hadoop).delete(folder, True)
+        for path in [work, *(path for _, _, last, path in before if last < newest - remembered)]:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(hadoop).delete(folder, True)
 
     return (
         source.writeStream.foreachBatch(keep)

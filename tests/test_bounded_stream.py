@@ -59,6 +59,7 @@ def test_copies_over_batches(spark, tmp_path):
         bounded.write_without_copies(stream(spark, source), root, checkpoint, "t", "24 hours").awaitTermination()
     assert kept(spark, root) == sorted([*plain(batches[:3], 24), ("a", 1)], key=str)
     assert len(list((tmp_path / "out" / "seen").glob("batch=*"))) == 2
+    assert not list((tmp_path / "out" / "work").glob("batch=*"))
 
 
 def test_any_batches(spark, tmp_path):
