@@ -7,11 +7,11 @@ Where the turn's text lies inside its span is found by rendering two probes in i
 place: what they have in common before and behind is not text. No knowledge of the template is used, so any function of turns will do.
 
 Conversations are read in order of their turns as a stream. The turns rendered
-before a turn are the whole conversation so far, so a task holds one conversation
-and its work grows with the square of the turns. A template declared by
-:func:`append_only` is rendered on from the last ``CONTEXT`` turns, from the first
-turn to the last whatever their length, which bounds the work of a turn. The declaration is
-checked against renderings of the whole at doubling numbers of turns.
+before a turn are the whole conversation so far, under any template, so a task holds one
+conversation and its work grows with the square of the turns. Only where a caller asks for
+it (``whole=False``) is a template declared by :func:`append_only` rendered on from the
+last ``CONTEXT`` turns, which bounds the work of a turn; the declaration is then
+checked against renderings of the whole at doubling numbers of turns. The query never does.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ from dosewright.llm.common import record_batch, short_batches
 Render = Callable[[list[tuple[str, str]]], str]
 
 CONTEXT = 4
-#: Up to so many turns a declared template is checked against renderings of the whole.
-CHECKED_TURNS = 1024
 LEARNT_ROLE = "assistant"
 #: They differ in their first and in their last character.
 PROBES = ("probe", "other")
@@ -42,6 +40,8 @@ _WRITTEN = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>", re.S)
 
 def escape(text: str) -> str:
     """``text`` without any control string; :func:`unescape` restores it."""
+    if "\\" not in text and "<|" not in text:
+        return text
     return text.replace("\\", "\\\\").replace("<|", "<\\|")
 
 
@@ -72,11 +72,11 @@ def _common(a: str, b: str) -> int:
 
 
 class Prefixes:
-    """Turn after turn of one conversation under a template."""
+    """Turn after turn of one conversation under a template; with ``whole`` a declaration does not count."""
 
-    def __init__(self, render: Render):
+    def __init__(self, render: Render, whole: bool = False):
         self.render = render
-        self.declared = getattr(render, "append_only", False)
+        self.declared = not whole and getattr(render, "append_only", False)
         self.turns: list[tuple[str, str]] = []
         self.before = render([])
         self.so_far: list[tuple[str, str]] = []
@@ -118,9 +118,6 @@ class Prefixes:
 
     def _denied(self, role: str, text: str, added: str) -> bool:
         """Whether the whole, rendered at a doubling number of turns, is not what the turns added."""
-        if len(self.so_far) >= CHECKED_TURNS:
-            self.written = []
-            return False
         self.so_far.append((role, text))
         self.written.append(added)
         n = len(self.so_far)
@@ -147,7 +144,7 @@ _SPAN_DDL = (
 )
 
 
-def _formatter(render: Render, learnt_role: str):
+def _formatter(render: Render, learnt_role: str, whole: bool = True):
     """Batches of ordered turns to batches of what they add."""
 
     def run(batches):
@@ -157,7 +154,7 @@ def _formatter(render: Render, learnt_role: str):
             rows = zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")))
             for conv_id, role, text in rows:
                 if prefixes is None or conv_id != current:
-                    current, prefixes, number = conv_id, Prefixes(render), 0
+                    current, prefixes, number = conv_id, Prefixes(render, whole), 0
                 role, text = role or "", text or ""
                 learnt = role == learnt_role
                 added, start, end, rewritten = prefixes.add(role, text, learnt)
@@ -174,16 +171,19 @@ def _ordered(conversations: DataFrame) -> DataFrame:
     return turns.sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
-def formatted_turns(conversations: DataFrame, render: Render = template, learnt_role: str = LEARNT_ROLE) -> DataFrame:
+def formatted_turns(
+    conversations: DataFrame, render: Render = template, learnt_role: str = LEARNT_ROLE, whole: bool = True
+) -> DataFrame:
     """One row a turn, in order within a partition: what it adds to the output, and where its text lies.
 
     ``conversations`` has ``conv_id``, ``turn``, ``role``, ``text``; null roles
     and texts are empty. Turns of equal number follow each other by role and text;
     repeated rows are turns of their own; null turns come first. Rows without a
     ``conv_id`` are one conversation. ``learnt`` marks the turns under the loss
-    mask: those of ``learnt_role``. Other columns are ignored.
+    mask: those of ``learnt_role``. Other columns are ignored. Every prefix is rendered
+    whole; without ``whole`` declared templates go on from the last turns.
     """
-    return _ordered(conversations).mapInArrow(_formatter(render, learnt_role), _SPAN_DDL)
+    return _ordered(conversations).mapInArrow(_formatter(render, learnt_role, whole), _SPAN_DDL)
 
 
 _DIGEST = pa.schema(
