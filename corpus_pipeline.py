@@ -37,7 +37,7 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8), the one of the smallest id."""
+    """One document of each group of near copies (SimHash within two bits; five words, 0.8), the one of the smallest id."""
     return near_copies.without_near_copies(docs)
 
 

@@ -1,6 +1,11 @@
-"""Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near copies: documents whose SimHash fingerprints differ in two bits or fewer, and documents whose sets of
+five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from min-hashing: a set has 32 bands of five smallest hashes, and
+The first are found as op8 finds them (``simhash``): an index over byte positions, a tally of the
+positional bytes that a pair shares, six or more retained, bits counted. All of them are found.
+
+Copies with more words changed are further apart than two bits. Their candidates come from
+min-hashing: a set has 32 bands of five smallest hashes, and
 two documents meet if a band is equal. At similarity 0.8 a pair misses all bands in
 three of a million cases, above that more seldom. Every pair that meets is decided
 by the exact similarity of its shingle sets, so nothing is linked by chance.
@@ -23,7 +28,7 @@ from pyspark.sql import functions as F
 
 from dosewright.llm.common import as_bytes, record_batch, short_batches
 from dosewright.llm.components import components, contract_batches
-from dosewright.llm.simhash import SEED, shingle_hashes
+from dosewright.llm.simhash import SEED, fingerprint, links as simhash_links, shingle_hashes
 from dosewright.session import stored
 
 SHINGLE_WORDS = 5
@@ -39,7 +44,7 @@ _draw = np.random.default_rng(SEED)
 _FACTOR = _draw.integers(0, 1 << 63, (BANDS * BAND_HASHES, 1), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 _FLIP = _draw.integers(0, 1 << 63, (BANDS * BAND_HASHES, 1), dtype=np.uint64) << np.uint64(1)
 
-_INDEX = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_INDEX = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
 _MEMBER = pa.schema([("b1", pa.int64()), ("b2", pa.int64()), ("node", pa.int64())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -75,14 +80,16 @@ def _halves(content: bytes) -> tuple[int, int]:
 
 def _indexed(batches):
     for batch in batches:
-        h1, h2, keys = [], [], []
+        h1, h2, prints, keys = [], [], [], []
         for text in as_bytes(batch.column("text")):
             values = shingles(text)
             one, two = _halves(values.tobytes())
             h1.append(one)
             h2.append(two)
+            prints.append(fingerprint(text))
             keys.append(bands(values))
-        yield record_batch(_INDEX, batch.column("row"), batch.column("doc_id").cast(pa.int64()), h1, h2, keys)
+        fp = np.array(prints, dtype=np.uint64).view(np.int64)
+        yield record_batch(_INDEX, batch.column("row"), batch.column("doc_id").cast(pa.int64()), h1, h2, fp, keys)
 
 
 def _buckets(batches):
@@ -140,11 +147,25 @@ def _contracted_links(batches):
     return contract_batches(_links(batches))
 
 
+def _within_bits(index: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the nodes whose documents have fingerprints within two bits.
+
+    Documents of equal shingles may differ in how often they have them, and so in their
+    fingerprints: a node is linked by each of these.
+    """
+    kinds = index.select("h1", "h2", "fp").distinct()
+    kinds = stored(kinds.join(nodes.select("h1", "h2", F.col("row").alias("node")), ["h1", "h2"]).select("node", "fp"), "prints")
+    of_print = stored(kinds.groupBy("fp").agg(F.min("node").alias("node"), F.count("*").alias("n")), "nodes-of-prints")
+    several = of_print.where("n > 1").select("fp", F.col("node").alias("a"))
+    equal = kinds.join(several, "fp").where("a <> node").select("a", F.col("node").alias("b"))
+    return simhash_links(of_print.select("node", "fp")).select("a", "b").unionByName(equal)
+
+
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """One row of each group of near copies, that of the smallest ``doc_id``.
 
-    A group is what is connected by similarities of 0.8 or more, texts of equal
-    shingles and texts without words among themselves included. All columns pass.
+    A group is what is connected by fingerprints within two bits and by similarities of 0.8 or
+    more, texts of equal shingles and texts without words among themselves included. All columns pass.
     Rows without a ``doc_id`` are looked at like any other and stay unless their
     group has a row with one, or they are repeated: exactly one row of a group
     stays. Rows of one ``doc_id`` with texts of different groups all stay.
@@ -153,12 +174,13 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     rows = stored(short_batches(docs).withColumn(ROW, F.monotonically_increasing_id()), "rows")
     index = stored(
         rows.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-            _indexed, "row long, doc_id long, h1 long, h2 long, bands array<long>"
+            _indexed, "row long, doc_id long, h1 long, h2 long, fp long, bands array<long>"
         ),
         "shingles",
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
-    nodes = stored(index.groupBy("h1", "h2").agg(first).select("first.*"), "nodes")
+    nodes = stored(index.groupBy("h1", "h2").agg(first).select("h1", "h2", "first.*"), "nodes")
+    within_bits = _within_bits(index, nodes)
     members = (
         index.join(nodes.select("row"), "row", "left_semi")
         .select(F.explode("bands").alias("key"), F.col("row").alias("node"))
@@ -178,7 +200,7 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
         .select("b1", "b2", "node", "text")
         .mapInArrow(_contracted_links, "a long, b long")
     )
-    roots = components(links, contracted=True)
+    roots = components(links.unionByName(within_bits), contracted=True)
     kept = (
         nodes.join(roots, F.col("row") == F.col("node"), "left")
         .groupBy(F.coalesce("component", "row").alias("group"))
