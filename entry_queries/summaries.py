@@ -99,14 +99,14 @@ def _mart_rows(made):
 @query("MART_all_from_cubes", _mart_rows_sql())
 def marts_from_cubes(spark, sf_dir):
     """All rows and values of the fifteen summaries by way of the cubes."""
-    records = curated(spark, sf_dir, *all_marts_columns())
+    records = stored(curated(spark, sf_dir, *all_marts_columns()), "records")  # three cubes read them
     return _mart_rows(build_marts(records, geography(spark, sf_dir)))
 
 
 @query("SNK_05_stored_tables", _mart_rows_sql())
 def stored_tables(spark, sf_dir):
     """All fifteen summaries stored as tables and CSV, read back."""
-    records = curated(spark, sf_dir, *all_marts_columns())
+    records = stored(curated(spark, sf_dir, *all_marts_columns()), "records")
     made = build_marts(records, geography(spark, sf_dir))
     return _mart_rows(tables.save_all(made, scratch_path(spark, "tables"), scratch_path(spark, "csv")))
 
