@@ -257,34 +257,39 @@ def ingest_text(spark, sf_dir):
     )
 
 
-def _zip_archives(lines, folder):
-    """Lines (``period``, ``value``) as one archive for each period, written on the executors."""
+def _zip_archives(lines, folder, name, header=None):
+    """Lines (``period``, ``value``) as archives, one for each period and task, written on the executors where they lie.
+
+    ``name`` is made of period and task, ``header`` their first line. Returns (period, path) of each archive.
+    """
 
     def run(batches):
         import zipfile
 
+        from pyspark import TaskContext
+
         from dosewright.sources.archives import locate
 
         store, inner = locate(folder)
-        store.create_dir(inner, recursive=True)
-        now, closing = None, []
+        task, opened = TaskContext.get().partitionId(), {}
         for batch in batches:
             for period, values in batch.groupby("period", sort=True)["value"]:
-                if period != now:
-                    while closing:
-                        closing.pop().close()
-                    sink = store.open_output_stream(f"{inner}/{period}.zip")
+                if period not in opened:
+                    path = name.format(period=period, task=task)
+                    store.create_dir(f"{inner}/{path}".rsplit("/", 1)[0], recursive=True)
+                    sink = store.open_output_stream(f"{inner}/{path}")
                     archive = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED)
-                    closing = [sink, archive, archive.open(f"{period}.csv", "w", force_zip64=True)]
-                    now = period
-                    yield pd.DataFrame({"period": [period], "path": [f"{folder}/{period}.zip"]})
-                closing[-1].write("".join(v + "\n" for v in values).encode("latin1"))
-        while closing:
-            closing.pop().close()
+                    opened[period] = (archive.open(f"{period}.csv", "w", force_zip64=True), archive, sink, path)
+                    if header is not None:
+                        opened[period][0].write(f"{header}\n".encode("latin1"))
+                opened[period][0].write("".join(v + "\n" for v in values).encode("latin1"))
+        for period, (*closing, path) in opened.items():
+            for one in closing:
+                one.close()
+            yield pd.DataFrame({"period": [period], "path": [f"{folder}/{path}"]})
 
-    order = ["period", *(["at"] if "at" in lines.columns else [])]
-    laid_out = lines.repartition("period").sortWithinPartitions(*order).select("period", "value")
-    return {r.period: r.path for r in laid_out.mapInPandas(run, "period int, path string").collect()}
+    made = lines.select("period", "value").mapInPandas(run, "period int, path string")
+    return sorted((r.period, r.path) for r in made.collect())
 
 
 _ZIPPED = """z AS (SELECT l_orderkey % 3 + 1 AS month, l_linenumber = 7 AS bad, l_orderkey, l_returnflag, l_shipdate,
@@ -312,9 +317,9 @@ def _zipped_lines(spark, sf_dir):
 )
 def zip_source(spark, sf_dir):
     """Lines read straight out of ZIP archives, in small blocks."""
-    paths = _zip_archives(_zipped_lines(spark, sf_dir), scratch_path(spark, "zips"))
+    made = _zip_archives(_zipped_lines(spark, sf_dir), scratch_path(spark, "zips"), "{task}/{period}.zip")
     layout = delimited.Layout(("codigo_documento", "sexo_paciente", "data_vacina"), ";", False)
-    lines = delimited.scan_zipped(spark, sorted(paths.values()), layout, block=1 << 16)
+    lines = delimited.scan_zipped(spark, [path for _, path in made], layout, block=1 << 16)
     problem = F.col(delimited.PROBLEM)
     dates = F.when(problem.isNull(), F.col("data_vacina"))
     return lines.groupBy(delimited.file_name(lines).alias("file"), problem.alias("problem")).agg(
@@ -330,18 +335,18 @@ def zip_source(spark, sf_dir):
   count(l_shipdate) FILTER (WHERE NOT bad AND NOT short) AS stored_dates FROM z WHERE month < 3 GROUP BY month""",
 )
 def ingest_whole_manifest(spark, sf_dir):
-    """A manifest of three months and their ZIP archives; two months are chosen, in two runs."""
+    """A manifest of three months and their ZIP archives, as many as tasks wrote; two months are chosen, in two runs."""
     root = scratch_path(spark, "manifest")
-    names = F.lit("codigo_documento;sexo_paciente;data_vacina")
-    lines = _zipped_lines(spark, sf_dir)
-    first = lines.select("period").distinct().withColumn("value", names).withColumn("at", F.lit(0))
-    ordered = first.unionByName(lines.withColumn("at", F.lit(1)))
-    _zip_archives(ordered, f"{root}/raw/zip")
-    rows = [(2025, m, "", f"Month {m}", "CSV", f"https://example.org/20250{m}.zip", "") for m in (1, 2, 3)]
+    names = "codigo_documento;sexo_paciente;data_vacina"
+    made = _zip_archives(_zipped_lines(spark, sf_dir), f"{root}/raw/zip", "{period}-{task}.zip", names)
+    months = [(p % 100, path.rsplit("/", 1)[-1]) for p, path in made]
+    rows = [(2025, m, "", f"Month {m}", "CSV", f"https://example.org/{name}", "") for m, name in months]
+    # A run takes the first rows of its manifest: those of the first month, then those of both.
+    first = [sum(m <= n for m, _ in months) for n in (1, 2)]
     columns = ["year", "month", "month_name", "resource_name", "format", "url", "source_page"]
     manifest_path = f"{root}/manifest"
     spark.createDataFrame(rows, columns).coalesce(1).write.option("header", True).csv(manifest_path)
-    runs = [ingest.ingest_manifest(spark, manifest_path, root, months=[1, 2], max_months=n) for n in (1, 2)]
+    runs = [ingest.ingest_manifest(spark, manifest_path, root, months=[1, 2], max_months=n) for n in first]
     stored = stored_records.load_curated(spark, f"{root}/processed")
     dates = stored.groupBy(F.col("month").cast("int").alias("month")).agg(F.count("data_vacina").alias("stored_dates"))
     return (
