@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,33 @@ SCRATCH = "spark.dosewright.scratch.dir"
 _written: dict[str, list[str]] = {}
 
 
+#: Files of different months that a task writes side by side; only rows of further months are sorted first.
+OPEN_FILES = 32
+
+
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def write_unsorted(spark: SparkSession) -> None:
+    """Lets tasks write their months side by side, instead of sorting all their rows by month first.
+
+    A sort holds a task's rows in memory, which is many times what they take in a shuffle or a file.
+    """
+    if int(spark.conf.get(_OPEN_FILES)) < OPEN_FILES:
+        spark.conf.set(_OPEN_FILES, str(OPEN_FILES))
+
+
+@contextmanager
+def unsorted_partitions(spark: SparkSession) -> Iterator[None]:
+    """:func:`write_unsorted` for what is written inside."""
+    before = spark.conf.get(_OPEN_FILES)
+    write_unsorted(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN_FILES, before)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dosewright.session import stored
+from dosewright.session import stored, unsorted_partitions
 from dosewright.sinks.digests import DIGEST, with_digest, without_stored_copies
 
 RUN = "run"
@@ -107,7 +107,8 @@ def _enter(spark: SparkSession, root: str, entries: list[tuple]) -> None:
 def _write(df: DataFrame, root: str, run: str, rebalance: bool) -> None:
     keys = [k for k in _MONTH if k in df.columns]
     laid_out = df.hint("rebalance", *map(F.col, keys)) if rebalance else df
-    laid_out.withColumn(RUN, F.lit(run)).write.mode("append").partitionBy(*keys, RUN).parquet(root)
+    with unsorted_partitions(df.sparkSession):
+        laid_out.withColumn(RUN, F.lit(run)).write.mode("append").partitionBy(*keys, RUN).parquet(root)
 
 
 def add(

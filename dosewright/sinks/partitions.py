@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dosewright.session import stored
+from dosewright.session import stored, unsorted_partitions
 from dosewright.sinks import additions
 from dosewright.sinks.digests import DIGEST, with_digest
 from dosewright.spec import SENSITIVE_COLUMNS
@@ -43,24 +43,31 @@ def require_no_sensitive(df: DataFrame) -> DataFrame:
 
 
 def write_partitions(
-    df: DataFrame, root: str, rebalance: bool = True, keep_sensitive: bool = False
+    df: DataFrame,
+    root: str,
+    rebalance: bool = True,
+    keep_sensitive: bool = False,
+    padded: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replaces the months found in ``df`` and leaves the others alone.
 
     ``rebalance`` gathers each month into files of the advisory size: small
     months share no task with a large one, and a month holding most rows is
     split over many tasks. Without it each task writes one file per month it
-    saw, which is right when the input is one month per file anyway.
+    saw, which is right when the input is one month per file anyway. ``padded`` adds
+    columns that are the same in every row once the rows have been moved.
     """
-    if not keep_sensitive:
-        require_no_sensitive(df)
     laid_out = df.hint("rebalance", *(F.col(c) for c in PARTITION)) if rebalance else df
-    (
-        laid_out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION)
-        .parquet(root)
-    )
+    laid_out = padded(laid_out) if padded else laid_out
+    if not keep_sensitive:
+        require_no_sensitive(laid_out)
+    with unsorted_partitions(df.sparkSession):
+        (
+            laid_out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PARTITION)
+            .parquet(root)
+        )
 
 
 def keys_of_period(period: Column) -> dict[str, Column]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dosewright.operators.curate import curate
+from dosewright.session import write_unsorted
 from dosewright.sinks.partitions import (
     PARTITION,
     partition_keys,
@@ -44,7 +45,8 @@ def write_curated(
 
     The file sink's own log makes each batch appear once, whole; a folder that
     batch runs write to is refused. Rows of a month are gathered, so a batch
-    writes few files a month instead of one a task and month.
+    writes few files a month instead of one a task and month; a month that holds
+    most rows of a batch is split over tasks.
     """
     require_no_batches(root)
     keys = partition_keys(F.col("ano_vacinacao"), F.col("mes_vacinacao"))
@@ -52,13 +54,14 @@ def write_curated(
         {k: F.coalesce(v, F.lit(UNDATED[k])) for k, v in keys.items()}
     )
     writer = (
-        keyed.repartition(*PARTITION).writeStream.format("parquet")
+        keyed.hint("rebalance", *(F.col(c) for c in PARTITION)).writeStream.format("parquet")
         .outputMode("append")
         .option("path", root)
         .option("checkpointLocation", checkpoint)
         .partitionBy(*PARTITION)
         .trigger(availableNow=True)
     )
+    write_unsorted(curated.sparkSession)  # for as long as the stream goes on
     return (writer.queryName(name) if name else writer).start()
 
 
