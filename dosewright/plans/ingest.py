@@ -15,7 +15,7 @@ from dosewright.operators.lookups import not_in
 from dosewright.operators.sets import union_by_name
 from dosewright.session import stored
 from dosewright.sinks import partitions
-from dosewright.sinks.digests import with_digest, without_stored_copies
+from dosewright.sinks.digests import DIGEST, with_digest, without_stored_copies
 from dosewright.sources import archives, delimited, pages, quoted
 from dosewright.sources.manifest import first_months, load_manifest, require_rows
 from dosewright.spec import DERIVED_COLUMNS, RAW_COLUMNS, CurationSpec
@@ -107,34 +107,29 @@ def scan_landed(spark: SparkSession, files: list[LandedFile]) -> list[tuple[list
 def parsed(spark: SparkSession, files: list[LandedFile], spec: CurationSpec) -> tuple[DataFrame, dict[str, Counted]]:
     """Curated records of the files, and the counts of each file; one pass over the text.
 
-    What is counted is stored beside the records, in a few narrow columns of all
-    lines, and grouped by file afterwards: neither the plan nor the work a
-    line grows with the number of files.
+    The fields of all lines are stored as they were read, for each layout, with what is counted in a
+    few narrow columns, which are grouped by file: neither the plan nor the work a
+    line grows with the number of files. Curation is left to whoever reads the records, so files that are
+    read again are not curated twice. Records have the columns of their layouts, see :func:`full_width`.
     """
-    keep_all = replace(spec, only_valid_documents=False)
-    frames = []
+    frames, seen = [], {}
     for members, lines in scan_landed(spark, files):
         usable = F.col(delimited.PROBLEM).isNull()
         tests = {} if members[0].layout.header else delimited.alignment_tests(lines)
         marks = {FIT + c: F.when(usable & F.col(c).isNotNull(), fits) for c, fits in tests.items()}
         marked = lines.withColumns({PROBLEM: F.col(delimited.PROBLEM), **marks}).drop(delimited.PROBLEM, delimited.CORRUPT)
-        frames.append(full_width(curate(marked, keep_all)))
-    lines = stored(union_by_name(*frames), "parsed")
-    fit = [c for c in lines.columns if c.startswith(FIT)]
-    counted = lines.groupBy(FILE).agg(
-        F.count("*").alias("lines"),
-        F.count(PROBLEM).alias("bad"),
-        F.count_if(F.col(PROBLEM) == "open_quote").alias("open"),
-        *(F.avg(F.col(c).cast("double")).alias(c) for c in fit),
-    )
-    seen = {
-        r[FILE]: Counted(r["lines"], r["bad"], r["open"], {c.removeprefix(FIT): r[c] for c in fit})
-        for r in counted.collect()  # one row for each file of the manifest
-    }
-    records = lines.where(F.col(PROBLEM).isNull()).drop(PROBLEM, *fit)
-    if spec.only_valid_documents:
-        records = records.where("registro_valido_documento")
-    return records, {_name_of(f.path): seen.get(_name_of(f.path), Counted()) for f in files}
+        lines = stored(marked, "parsed")
+        counted = lines.groupBy(FILE).agg(
+            F.count("*").alias("lines"),
+            F.count(PROBLEM).alias("bad"),
+            F.count_if(F.col(PROBLEM) == "open_quote").alias("open"),
+            *(F.avg(F.col(c).cast("double")).alias(c) for c in marks),
+        )
+        for r in counted.collect():  # one row for each file of the manifest
+            shares = {c.removeprefix(FIT): r[c] for c in marks}
+            seen[r[FILE]] = Counted(r["lines"], r["bad"], r["open"], shares)
+        frames.append(curate(lines.where(F.col(PROBLEM).isNull()).drop(PROBLEM, *marks), spec))
+    return union_by_name(*frames), {_name_of(f.path): seen.get(_name_of(f.path), Counted()) for f in files}
 
 
 def with_line_breaks(
@@ -151,9 +146,10 @@ def with_line_breaks(
     if not again:
         return files, records, counted
     joined, recounted = parsed(spark, again, spec)
-    rest = records.join(_periods(spark, again).select(FILE), FILE, "left_anti")
+    if len(again) < len(files):
+        joined = union_by_name(records.join(_periods(spark, again).select(FILE), FILE, "left_anti"), joined)
     by_path = {f.path: f for f in again}
-    return [by_path.get(f.path, f) for f in files], union_by_name(rest, joined), counted | recounted
+    return [by_path.get(f.path, f) for f in files], joined, counted | recounted
 
 
 def full_width(df: DataFrame) -> DataFrame:
@@ -169,8 +165,9 @@ def full_width(df: DataFrame) -> DataFrame:
     if "numero_idade_paciente" in lacking:
         lacking["numero_idade_paciente"] = F.lit(None).cast("double")
     padded = df.withColumns(lacking) if lacking else df
-    extra = [c for c in padded.columns if c not in RAW_COLUMNS and c not in DERIVED_COLUMNS]
-    return padded.select(*RAW_COLUMNS, *extra, *DERIVED_COLUMNS)
+    last = [c for c in (DIGEST, *partitions.PARTITION) if c in padded.columns]
+    extra = [c for c in padded.columns if c not in (*RAW_COLUMNS, *DERIVED_COLUMNS, *last)]
+    return padded.select(*RAW_COLUMNS, *extra, *DERIVED_COLUMNS, *last)
 
 
 def month_groups(files: list[LandedFile], sizes: dict[str, int], group_bytes: int) -> list[list[LandedFile]]:
@@ -267,7 +264,7 @@ def ingest_files(
     if deduplicate:
         records = _distinct(spark, records, processed, periods, spec, against)
     partitions.mark_open(spark, processed, periods)
-    partitions.write_by_period(records, processed, PERIOD, keep_sensitive=spec.keep_sensitive)
+    partitions.write_by_period(records, processed, PERIOD, keep_sensitive=spec.keep_sensitive, padded=full_width)
     write_quarantine(spark, [f for f in files if counted[_name_of(f.path)].bad], f"{data_dir}/quarantine")
     after = partitions.period_counts(records, PERIOD)
     before, bad = defaultdict(int), defaultdict(int)
@@ -279,7 +276,7 @@ def ingest_files(
     partitions.remove_months(f"{data_dir}/quarantine", [p for p in periods if not bad[p]])
     rows = [(p // 100, p % 100, before[p], after.get(p, 0), bad[p]) for p in periods]
     partitions.commit_months(
-        spark.createDataFrame(rows, partitions.COUNT_SCHEMA), processed, records.drop(PERIOD).schema
+        spark.createDataFrame(rows, partitions.COUNT_SCHEMA), processed, full_width(records.drop(PERIOD)).schema
     )
     return rows
 

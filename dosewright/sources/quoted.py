@@ -45,7 +45,7 @@ def _closes(line: Column, separator: str) -> Column:
 
 
 def numbered_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
-    """(path, file, no, split, line) of all lines, stored; ``no`` counts through a file from 0.
+    """(path, file, file_no, no, split, line) of all lines, stored; ``no`` counts through a file from 0.
 
     Line ends are ASCII bytes in every encoding supported, so lines are split as bytes.
     """
@@ -60,8 +60,10 @@ def numbered_lines(spark: SparkSession, paths: str | list[str], encoding: str) -
     splits = raw.groupBy(*_SPLIT).agg(F.min("at").alias("first"), F.count("*").alias("n"))
     above = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0)))
+    # A file by a number of its own, the least of its lines' ids: lines are joined by numbers, not by paths.
+    splits = splits.withColumn("file_no", F.min("first").over(Window.partitionBy("path")))
     return raw.join(splits, _SPLIT).select(
-        "path", "file", "split", (F.col("at") - F.col("first") + F.col("above")).alias("no"), "line"
+        "path", "file", "file_no", "split", (F.col("at") - F.col("first") + F.col("above")).alias("no"), "line"
     )
 
 
@@ -123,7 +125,7 @@ def record_texts(
     ``header`` neither. Null bytes and unusual characters are left as they are; files without
     a line give nothing.
     """
-    lines = numbered_lines(spark, paths, encoding)
+    lines = numbered_lines(spark, paths, encoding).drop("path").withColumnRenamed("file_no", "path")
     if header:
         lines = lines.where("no > 0")
     line = F.col("line")
@@ -138,8 +140,8 @@ def record_texts(
     together = F.array_sort(F.collect_list(F.struct("no", "line")))
     joined = (
         lines.join(inside, ["path", "no"])
-        .groupBy("path", "file", "first")
-        .agg(together.alias("lines"))
+        .groupBy("path", "first")
+        .agg(F.any_value("file").alias("file"), together.alias("lines"))
         .select("file", F.array_join(F.col("lines.line"), "\n").alias("record"))
     )
     return alone.unionByName(joined)
