@@ -9,7 +9,7 @@ from dosewright.functions import keys
 from dosewright.operators.rollups import group_count
 from dosewright.plans import ingest
 from dosewright.plans.marts import build_mart
-from dosewright.session import scratch_path
+from dosewright.session import scratch_path, stored
 from dosewright.sinks import additions, documents, partitions, tables
 from dosewright.sources import archives, curated as stored_records, delimited, manifest, pages, places
 from entry_queries import oracle
@@ -777,11 +777,12 @@ def replace_months(spark, sf_dir):
     root = scratch_path(spark, "replaced")
     period = (F.col("l_orderkey") % 12 + 202501).cast("int")
     records = curated(spark, sf_dir, "l_orderkey", "uf_paciente").withColumn("arquivo_periodo", period)
+    records = stored(records, "records")
     partitions.write_by_period(records, root, "arquivo_periodo")
     again = records.filter(F.col("l_orderkey") % 12 < 2)
     partitions.write_by_period(again.unionByName(again), root, "arquivo_periodo")
-    stored = spark.read.option("basePath", root).parquet(root)
-    return stored.groupBy(F.col("month").cast("bigint").alias("file_month")).agg(
+    found = spark.read.option("basePath", root).parquet(root)
+    return found.groupBy(F.col("month").cast("bigint").alias("file_month")).agg(
         F.count("*").alias("records")
     )
 
