@@ -16,20 +16,24 @@ a part. A length that a third of all pieces have is so spread over all parts.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import unicodedata
 import zlib
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from dosewright.llm.common import as_texts, record_batch, short_batches
+from dosewright.llm.common import record_batch, short_batches
 from dosewright.session import stored
 
 CAPACITY = 2048
@@ -37,6 +41,9 @@ END = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Tokenized words in one generation of a task's memory, which is emptied at its end.
 REMEMBERED = 200_000
+#: Bytes of text that are split into words at once, and distinct words of it that are looked up at once.
+AT_ONCE = 4_000_000
+WORDS_AT_ONCE = 20_000
 
 # Normaliser and splits of the tokenizer's own file.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -49,12 +56,10 @@ _SPLITS = [
     {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
 ]
-_SPLIT = regex.compile(_PATTERN)
-#: Words of these characters are normalised alike by Python and by the tokenizer.
-_PLAIN = regex.compile(r"[\x21-\x7E\xA1-ſ]+")
-#: str.split() takes these for white space, the tokenizer does not.
-_NOT_SPACE = regex.compile("[\x1c-\x1f]")
-_SPACES = regex.compile(r"[^\S\x1c-\x1f]+")
+#: Pieces of words that stand in lines, and the line ends between them.
+_SPLIT = regex.compile(_PATTERN + r"|\n")
+#: Words of plain characters are normalised alike by Python and by the tokenizer; others, and parts of special tokens, are not.
+_NOT_PLAIN = re.compile(r"[^\n\x21-\x7E\xA1-ſ]|<\|")
 
 _PIECE = pa.schema(
     [
@@ -68,47 +73,55 @@ _PIECE = pa.schema(
 )
 
 
-class Memory(dict):
-    """Results of a function, of two generations: when the younger is full, the older is let go.
+class Memory:
+    """Results of a function of many keys, of two generations: when the younger is full, the older is let go.
 
     What is asked for again moves to the younger one, so frequent keys stay.
     """
 
     def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit, self.older = make, limit, {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+        self.make, self.limit = make, limit
+        self.forget()
+
+    def learn(self, keys: set) -> None:
+        """Afterwards the younger generation holds all ``keys``."""
+        new = keys.difference(self.younger)
+        if self.younger and len(self.younger) + len(new) > self.limit:
+            self.younger, self.older = {}, self.younger
+            new = keys
+        unknown = new.difference(self.older)
+        older = self.older
+        self.younger.update((key, older[key]) for key in new.difference(unknown))
+        if unknown:
+            made = list(unknown)
+            self.younger.update(zip(made, self.make(made), strict=True))
 
     def forget(self) -> None:
-        self.older = {}
-        self.clear()
+        self.younger, self.older = {}, {}
 
 
 class WordTokenizer:
-    """Ids of whole texts as little-endian bytes, one cached word at a time.
+    """Ids of whole texts as little-endian bytes, from remembered words.
 
     A tokenizer that splits as ``TOKENIZER`` does never joins what white space
-    parts, so a text's ids are those of its words. Words of plain letters and signs
-    go through the model alone; all others, and its special tokens, through the whole
-    tokenizer. A tokenizer of any other kind is given whole texts.
+    parts, so a text's ids are those of its words (here: what stands between ASCII white
+    space). New words of plain letters and signs are normalised and split together, and
+    their new pieces go through the model alone; all others, those with other white space,
+    and special tokens go through the whole tokenizer. A tokenizer of any other kind is
+    given whole texts.
     """
 
+    #: Stands for a line end between words. Ids are far smaller, so their bytes never hold it.
+    _LINE_END = b"\xff\xff\xff\xff"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
         self.by_words = self._splits_words(json.loads(self.whole.to_str()))
-        self.words = Memory(self._word, REMEMBERED)
-        self.pieces = Memory(self._piece, REMEMBERED)
+        self.words = Memory(self._new_words, REMEMBERED)
+        self.pieces = Memory(self._new_pieces, REMEMBERED)
         letters = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in letters]
         # bytes as the byte-level model spells them: printable ones as they are, others from U+0100 on
@@ -124,32 +137,84 @@ class WordTokenizer:
             and model["type"] == "BPE"
             and not parts["post_processor"]
             and not parts["truncation"]
-            and all(t.startswith("<|") and not _SPACES.search(t) for t in special)
+            and all(t.startswith("<|") and not re.search(r"\s", t) for t in special)
         )
 
-    def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():  # one piece; the words remember it
-            return self._piece(word.lower())
-        if "<|" in word or not _PLAIN.fullmatch(word):
-            return np.array(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if not word.isascii():
-            word = unicodedata.normalize("NFC", word)
-        return b"".join(map(self.pieces.__getitem__, _SPLIT.findall(word.lower())))
-
-    def _piece(self, part: str) -> bytes:
-        spelt = part if part.isascii() else "".join(map(self.spelling.__getitem__, part.encode()))
-        ids = [t.id for t in self.whole.model.tokenize(spelt)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _new_words(self, words: list[str]) -> Iterable[bytes]:
+        lines = "\n".join(words)
+        if not _NOT_PLAIN.search(lines):
+            return self._plain_words(lines)
+        ids = {word: self._whole(word) for word in words if _NOT_PLAIN.search(word)}
+        plain = [word for word in words if word not in ids]
+        ids.update(zip(plain, self._plain_words("\n".join(plain))))
+        return map(ids.__getitem__, words)
+
+    def _plain_words(self, lines: str) -> list[bytes]:
+        """Ids of each line, a word of plain characters."""
+        if not lines.isascii():
+            lines = unicodedata.normalize("NFC", lines)
+        words = lines.lower().split("\n")
+        alone = [word.isalpha() for word in words]  # letters are one piece
+        parts = _SPLIT.findall("\n".join([word for word, one in zip(words, alone) if not one]))
+        self.pieces.learn({*parts, *compress(words, alone)})
+        known = self.pieces.younger
+        split = iter(b"".join(map(known.__getitem__, parts)).split(self._LINE_END))
+        return [known[word] if one else next(split) for word, one in zip(words, alone)]
+
+    def _new_pieces(self, parts: list[str]) -> Iterator[bytes]:
+        spelling, tokenize = self.spelling, self.model.tokenize
+        for part in parts:
+            if part == "\n":
+                yield self._LINE_END
+                continue
+            ids = [t.id for t in tokenize(part if part.isascii() else "".join(map(spelling.__getitem__, part.encode())))]
+            yield struct.pack(f"<{len(ids)}I", *ids)
 
     def forget(self) -> None:
         self.words.forget()
         self.pieces.forget()
 
-    def __call__(self, text: str) -> bytes:
+    def _of_words(self, texts: pa.Array) -> Iterator[bytes]:
+        split = pc.ascii_split_whitespace(texts)
+        words = split.values.dictionary_encode()
+        ids: list[bytes] = []
+        for k in range(0, len(words.dictionary), WORDS_AT_ONCE):
+            part = words.dictionary.slice(k, WORDS_AT_ONCE).to_numpy(zero_copy_only=False).tolist()
+            known = list(map(self.words.younger.get, part))
+            missing = [word for word, found in zip(part, known) if found is None]
+            self.words.learn(set(missing))
+            learnt = map(self.words.younger.__getitem__, missing)
+            ids += [next(learnt) if found is None else found for found in known]
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        start = np.cumsum(length) - length
+        place = words.indices.to_numpy()
+        n = length[place]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        taken = flat[np.repeat(start[place] - ends[:-1], n) + np.arange(ends[-1])]
+        of_text = ends[split.offsets.to_numpy()].tolist()
+        for first, end in zip(of_text, of_text[1:]):
+            yield taken[first:end].tobytes()
+
+    def each(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each of ``texts``, in order; null counts as empty."""
+        texts = texts.fill_null("")
         if not self.by_words:
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        words = _SPACES.split(text) if _NOT_SPACE.search(text) else text.split()
-        return b"".join(map(self.words.__getitem__, words))
+            yield from map(self._whole, texts.to_pylist())
+            return
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        first = 0
+        while first < len(texts):  # a longer text is alone
+            room = AT_ONCE + (ends[first - 1] if first else 0)
+            end = max(first + 1, int(np.searchsorted(ends, room, side="right")))
+            yield from self._of_words(texts.slice(first, end - first))
+            first = end
+
+    def __call__(self, text: str) -> bytes:
+        return next(self.each(pa.array([text], pa.string())))
 
 
 @lru_cache(maxsize=2)
@@ -177,8 +242,8 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
         encode = word_tokenizer(path)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_texts(batch.column("text"))):
-                ids = encode(text) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.each(batch.column("text")), strict=True):
+                ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part), part))

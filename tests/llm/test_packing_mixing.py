@@ -205,3 +205,34 @@ def test_tokenizers_of_another_kind_are_given_whole_texts():
     for text in ("Two  words, don't\n split", "", " lead", "naïve 123 ſ ǅ <|endoftext|>"):
         ids = np.frombuffer(own(text), dtype="<u4").tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_learnt_in_bulk_and_pieces_once(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    whole, words = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    asked, made = [], words.pieces.make
+    words.pieces.make = lambda parts: asked.append(list(parts)) or made(parts)
+    list(words.each(pa.array(["Lemonade lemonade, LEMONADE!", "lemonade? (Lemonade)", None])))
+    assert len(asked) == 1 and asked[0].count("lemonade") == 1  # one call for all texts, one piece for all spellings
+
+    draw = random.Random(5)
+    spaces = [" ", "\n", "\t\t", "\x0b", "\x0c", "\r\n", "\x1c", "\x85", "\xa0", " ", "　"]
+    signs = ["ab", "É", "ß", "İ", "ŉ", "'s", "'", "12", "½", "²", "<|", "<|endoftext|>", "\xad", "x́", "Σ", "日本", "🙂", "\x00", "\xb5", "..", "ª"]
+    texts = [
+        "".join("".join(draw.choices(signs, k=draw.randint(0, 4))) + draw.choice(spaces) for _ in range(draw.randint(0, 80)))
+        for _ in range(120)
+    ] + [None, "", "\n", "long " * 900]
+    wanted = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for at_once, limit in ((1, 1), (300, 7), (4_000_000, 200_000)):
+        monkeypatch.setattr(packing, "AT_ONCE", at_once)
+        monkeypatch.setattr(packing, "WORDS_AT_ONCE", limit)
+        monkeypatch.setattr(packing, "REMEMBERED", limit)
+        tokenizer = packing.WordTokenizer(path)
+        for kind in (pa.string(), pa.large_string()):
+            column = pa.array([None, *texts], kind).slice(1)
+            assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in tokenizer.each(column)] == wanted
+        if limit == 7:
+            assert len(tokenizer.words.younger) <= limit and len(tokenizer.words.older) <= limit
