@@ -13,7 +13,8 @@ Suffix sort. The rest, one segment of each kind, are cut from the texts and suff
 anchor gram: prefix polynomial hashes and binary search give the common extension of two
 suffixes, so a comparison in the merge sort takes logarithmically many steps. Neighbours that
 agree for the whole length are compared byte by byte; where hashes lied, the suffixes are
-sorted by their bytes. The merges of all groups in a block run together in numpy.
+sorted by their bytes. The merges of all groups in a block run together in numpy. A gram is
+never cut: one whose segments take more than a block is a block of its own.
 
 A gram with more than ``MOST_SEGMENTS`` kinds of segments (a passage that very many documents
 quote between different words) is not sorted in one task: its strings go out as
@@ -63,9 +64,18 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_SPAN = max(BLOCK, SORT_BYTES) + 4 * LENGTH
-_POWER = [_powers(b, _SPAN) for b in _BASES]
-_INVERSE = [_powers(pow(b, -1, 1 << 64), _SPAN + 1) for b in _BASES]
+#: Powers of the bases and of their inverses, by lane; longer ones take their place where they are too short.
+_POWER = [np.empty(0, dtype=np.uint64)] * 2
+_INVERSE = [np.empty(0, dtype=np.uint64)] * 2
+
+
+def _reach(lane: int, size: int) -> None:
+    """Powers for ``size`` bytes. A gram is sorted whole, so its segments may take more than ``SORT_BYTES``."""
+    if len(_INVERSE[lane]) <= size:
+        size = max(size, BLOCK + LENGTH, SORT_BYTES)
+        _POWER[lane] = _powers(_BASES[lane], size)
+        _INVERSE[lane] = _powers(pow(_BASES[lane], -1, 1 << 64), size + 1)
+
 
 _ROW = pa.schema([(c, pa.int64()) for c in ("gram", "segment", "doc", "sub", "at")])
 _DECIDED = pa.schema([(c, pa.int64()) for c in ("gram", "doc", "sub", "start", "strings", "anchor")])
@@ -84,6 +94,7 @@ class Hashes:
     """Prefix hashes of some bytes; any substring's hash is a difference of two."""
 
     def __init__(self, data: np.ndarray, lane: int):
+        _reach(lane, len(data))
         self.prefix = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[lane][data] * _POWER[lane][: len(data)], out=self.prefix[1:])
         self.inverse = _INVERSE[lane]
@@ -423,16 +434,20 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    """``doc`` orders documents; ``sub`` tells texts of one ``doc_id`` apart where an id is repeated at all."""
+def _with_key(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``doc`` orders documents; ``sub`` tells texts of one ``doc_id`` apart where an id is repeated at all, as is told."""
     docs = short_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("doc", F.coalesce("doc_id", F.lit(LAST_ID)))
-    repeated = docs.groupBy("doc").count().where("count > 1").limit(1).count()
-    return docs.withColumn("sub", F.xxhash64("text") if repeated else F.lit(0).cast("long"))
+    repeated = docs.groupBy("doc").count().where("count > 1").limit(1).count() > 0
+    return docs.withColumn("sub", F.xxhash64("text") if repeated else F.lit(0).cast("long")), repeated
 
 
-def repeated_strings(docs: DataFrame) -> DataFrame:
-    """(doc, sub, start, strings): runs of strings of ``LENGTH`` bytes that also start earlier."""
+def repeated_strings(docs: DataFrame, alike: bool = True) -> DataFrame:
+    """(doc, sub, start, strings): runs of strings of ``LENGTH`` bytes that also start earlier.
+
+    ``alike`` tells that rows may be alike in id and text. They give the same segments, which are compared
+    once: otherwise each copy would meet the segments of all others.
+    """
     rows = docs.select("doc", "sub", "text").mapInArrow(_index, _ddl(_ROW))
     decided = stored(
         rows.repartition("gram")
@@ -441,6 +456,8 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
         "segments",
     )
     open_ = decided.where("gram is not null")
+    if alike:
+        open_ = open_.distinct()
     crowded = open_.groupBy("gram").count().where(F.col("count") > MOST_SEGMENTS).select("gram", F.lit(True).alias("crowded"))
     wanted = (
         open_.join(crowded, "gram", "left")
@@ -451,8 +468,9 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
             ).alias("wanted")
         )
     )
-    # Rows that are alike in id and text give the same segments.
     texts = docs.select("doc", "sub", "text").join(wanted, ["doc", "sub"])
+    if alike:
+        texts = texts.dropDuplicates(["doc", "sub"])
     cut = stored(texts.mapInArrow(_cut, _ddl(_CUT)), "cut")
     by_sort = (
         cut.where("bytes is not null")
@@ -470,7 +488,8 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
         .select("doc", "sub", "start", F.lit(1).cast("long").alias("strings"))
     )
     whole = decided.where("gram is null").select("doc", "sub", "start", "strings")
-    return whole.unionByName(by_sort).unionByName(by_hash)
+    found = whole.unionByName(by_sort).unionByName(by_hash)
+    return found.distinct() if alike else found
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -478,9 +497,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     ``spans`` are the maximal runs removed, as places in the input; ``kept`` are the bytes left.
     """
-    docs = _with_key(docs)
+    docs, repeated = _with_key(docs)
     repeats = (
-        repeated_strings(docs).groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "strings")).alias("repeats"))
+        repeated_strings(docs, repeated)
+        .groupBy("doc", "sub")
+        .agg(F.collect_list(F.struct("start", "strings")).alias("repeats"))
     )
     return (
         docs.join(repeats, ["doc", "sub"], "left")

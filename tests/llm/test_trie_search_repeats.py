@@ -246,6 +246,65 @@ def test_repeats_equal_plain(spark, monkeypatch, most, block):
         assert all(a.end < b.start for a, b in zip(row.spans, row.spans[1:]))
 
 
+def rare_gram():
+    """Bytes of one gram with a hash so small that it is the anchor of every string it is in."""
+    draw = np.random.default_rng(7)
+    data = draw.integers(97, 123, 200_000, dtype=np.uint8)
+    at = np.arange(len(data) - suffix_dedup.GRAM + 1)
+    least = int(np.argmin(suffix_dedup._mixed(suffix_dedup.Hashes(data, 0).of(at, at + suffix_dedup.GRAM))))
+    return data[least : least + suffix_dedup.GRAM].tobytes().decode()
+
+
+def around(gram, count):
+    """(doc_id, text): texts of 168 bytes that have the gram in their middle; every third has much of another's words."""
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=68))
+    rows = [[word(), word()] for _ in range(count)]
+    for i in range(3, count, 3):
+        before, after = rows[draw.randrange(i)]
+        rows[i] = [word()[:18] + before[18:], after[:50] + word()[50:]]
+    return [(i, before + gram + after) for i, (before, after) in enumerate(rows)]
+
+
+def test_one_gram_takes_more_than_a_block(spark):
+    rows = around(rare_gram(), 3300)
+    whole = [t for _, t in rows if len(suffix_dedup.segments(np.frombuffer(t.encode(), np.uint8), np.array([len(t)]))[0]) == 1]
+    assert suffix_dedup.SORT_BYTES + 4 * suffix_dedup.LENGTH < sum(len(t) for t in whole)
+    assert len(rows) < suffix_dedup.MOST_SEGMENTS
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    got = in_order((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got)
+    assert got == in_order(plain_repeats(rows))
+    assert sum(r[2] > 0 for r in got) >= 1000
+
+
+def test_hashes_of_any_length():
+    data = np.tile(np.arange(250, dtype=np.uint8), 5000)
+    hashes = suffix_dedup.Hashes(data, 0)
+    start = np.array([0, 250, 250 * 4000])
+    assert len(set(hashes.of(start, start + 100).tolist())) == 1
+    assert hashes.of(start, start + 99)[0] != hashes.of(start, start + 100)[0]
+    assert suffix_dedup.Hashes(data[:400], 0).of(start[:2], start[:2] + 100).tolist() == hashes.of(start[:2], start[:2] + 100).tolist()
+
+
+@pytest.mark.parametrize("most", [4096, 4])
+def test_rows_alike_are_compared_once(spark, monkeypatch, most):
+    base = around(rare_gram(), 30)
+    rows = [*base, *[base[9]] * 40, *[(None, base[12][1] + "!")] * 40]
+    monkeypatch.setattr(suffix_dedup, "MOST_SEGMENTS", most)
+    sizes = {}
+
+    def counted(df, name, keep=suffix_dedup.stored):
+        df = keep(df, name)
+        sizes[name] = df.count()
+        return df
+
+    monkeypatch.setattr(suffix_dedup, "stored", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs.repartition(8)).collect()
+    assert in_order((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got) == in_order(plain_repeats(rows))
+    assert sizes["cut"] <= (len(set(rows)) if most > 4 else 70 * len(set(rows)))
+
+
 def test_repeats_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(empty).collect() == []
